@@ -110,3 +110,26 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     d = d.join(summ, on=[*keys, BUCKET], how="left")
     return (d.withColumn(out, F.coalesce(F.col("_vl_in"), F.col("_vl_carry")))
              .drop("_vl_in", "_vl_carry", "_vl_src", BUCKET))
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, *,
+                out: str | None = None, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                with_prev: bool = True) -> DataFrame:
+    """Running total of ``value`` per key in ``order`` (rows frame), plus
+    ``prev_<value>`` when ``with_prev``.
+
+    In-bucket prefix sums come from a ``(key, bucket)`` window; earlier
+    buckets contribute their totals through a window over per-bucket sums.
+    """
+    keys, order = list(keys), list(order)
+    out = out or f"running_{value}"
+    d = neighbours(df, keys, order, [value], nxt=False, bucket_seconds=bucket_seconds) if with_prev else df
+    d = d.withColumn(BUCKET, bucket_of(order[0], bucket_seconds))
+    w = (Window.partitionBy(*keys, BUCKET).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    d = d.withColumn("_vl_in", F.sum(value).over(w))
+    tot = d.groupBy(*keys, BUCKET).agg(F.sum(value).alias("_vl_bt"))
+    wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.withColumn("_vl_carry", F.coalesce(F.sum("_vl_bt").over(wb), F.lit(0))).drop("_vl_bt")
+    d = d.join(tot, on=[*keys, BUCKET], how="left")
+    return d.withColumn(out, F.col("_vl_in") + F.col("_vl_carry")).drop("_vl_in", "_vl_carry", BUCKET)
