@@ -166,7 +166,8 @@ def spec_events(t):
                                                     F.col("doc_id").cast("string"), F.lit("openapi.yaml")))
            .otherwise(F.concat_ws("/", F.lit("APIs"), "source", "lang", F.col("doc_id").cast("string"),
                                   F.lit("swagger.yaml"))))
-    ts = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 60).cast("timestamp_ntz")
+    # wall-clock arithmetic on TIMESTAMP_NTZ: independent of the session time zone
+    ts = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(doc_id AS INT), 0)")
     ev = d.select("doc_id", fp.alias("file_path"), ts.alias("commit_ts"))
     provider, api = S.path_identity(F.col("file_path"))
     return ev.select("doc_id", "file_path", "commit_ts", provider.alias("provider"), api.alias("api_name")) \
