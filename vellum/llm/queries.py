@@ -35,14 +35,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
-def byte_bpe_path() -> str:
+def byte_bpe_paths() -> tuple[str, str]:
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path("byte_bpe_50k.json")), str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 @query("op3_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), byte_bpe_path, size=1024, end_id=0)
+    return pack(table(spark, sf_dir, "documents"), byte_bpe_paths, size=1024, end_id=0)
