@@ -46,3 +46,39 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), byte_bpe_paths, size=1024, end_id=0)
+
+
+#: Lines as the operator compares them; near: one substitution, or one character more.
+LINE_SQL = r"""
+WITH split AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place, unnest(string_split(text, chr(10))) AS line FROM documents),
+norm AS (
+  SELECT doc_id, place, line, lower(trim(regexp_replace(line, '[ \t\r\f\v]+', ' ', 'g'), ' ')) AS n FROM split),
+node AS (SELECT n, min((doc_id, place)) AS first, length(n) AS len FROM norm WHERE n <> '' GROUP BY n),
+part AS (
+  SELECT n, len, first, h, unnest([hash(0, h, n[1:h]), hash(1, h, right(n, h))]) AS k
+  FROM (SELECT *, unnest(list_distinct([len // 2, (len - 1) // 2])) AS h FROM node WHERE len >= 16)),
+pair AS (
+  SELECT DISTINCT a.n AS a, b.n AS b FROM part a JOIN part b ON a.k = b.k AND a.h = b.h AND b.first < a.first AND abs(a.len - b.len) <= 1),
+near AS (
+  SELECT DISTINCT a FROM pair WHERE CASE
+    WHEN length(a) = length(b) THEN len(list_filter(range(1, length(a) + 1), lambda i: a[i:i] <> b[i:i])) = 1
+    WHEN length(a) < length(b) THEN list_contains(list_transform(range(1, length(b) + 1), lambda i: left(b, i - 1) || substr(b, i + 1)), a)
+    ELSE list_contains(list_transform(range(1, length(a) + 1), lambda i: left(a, i - 1) || substr(a, i + 1)), b) END),
+fate AS (
+  SELECT m.doc_id, m.place, m.line, (m.n <> '' AND (m.doc_id, m.place) > d.first) AS equal,
+         (m.n <> '' AND r.a IS NOT NULL AND (m.doc_id, m.place) = d.first) AS near,
+         (m.n <> '' AND ((m.doc_id, m.place) > d.first OR r.a IS NOT NULL)) AS gone
+  FROM norm m LEFT JOIN node d ON m.n = d.n LEFT JOIN near r ON m.n = r.a)
+SELECT d.doc_id, d.lang, d.source, d.n_chars,
+       coalesce(string_agg(f.line, chr(10) ORDER BY f.place) FILTER (NOT f.gone), CASE WHEN d.text IS NOT NULL THEN '' END) AS text,
+       count(f.place) AS n_lines, count(*) FILTER (f.equal) AS n_equal, count(*) FILTER (f.near) AS n_near
+FROM documents d LEFT JOIN fate f ON d.doc_id = f.doc_id GROUP BY d.doc_id, d.lang, d.source, d.n_chars, d.text
+"""
+
+
+@query("op1_line_dedup", LINE_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.lines import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents"), min_chars=16)
