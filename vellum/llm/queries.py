@@ -82,3 +82,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.lines import dedup_lines
 
     return dedup_lines(table(spark, sf_dir, "documents"), min_chars=16)
+
+
+@query("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
