@@ -89,3 +89,31 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.decontaminate import find_leaks
 
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ARCHIVE_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT payload_digest, payload_bytes, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY ALL)
+SELECT d.page_id, d.payload_bytes, d.payload_digest, CASE WHEN f.first <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> d.page_id THEN f.first END AS refers_to
+FROM d LEFT JOIN f ON d.payload_digest = f.payload_digest AND d.payload_bytes = f.payload_bytes
+"""
+
+
+@query("op4_warc", ARCHIVE_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from vellum.llm.common import Scratch
+    from vellum.llm.warc import read_archive, write_archive
+
+    path = Scratch(spark, "archive").path("records")
+    write_archive(table(spark, sf_dir, "pages"), path)
+    records = read_archive(spark, path)
+    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+    revisit = F.col("type") == "revisit"
+    return records.select(
+        page("record_id").alias("page_id"), F.when(revisit, F.col("told_size")).otherwise(F.col("content_size")).alias("payload_bytes"),
+        F.when(revisit, F.substring_index("told_digest", ":", -1)).otherwise(F.col("content_digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"), F.when(revisit, page("refers_to")).alias("refers_to"))
