@@ -117,3 +117,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         page("record_id").alias("page_id"), F.when(revisit, F.col("told_size")).otherwise(F.col("content_size")).alias("payload_bytes"),
         F.when(revisit, F.substring_index("told_digest", ":", -1)).otherwise(F.col("content_digest")).alias("payload_digest"),
         F.col("type").alias("record_type"), F.when(revisit, page("refers_to")).alias("refers_to"))
+
+URL_RULES = ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
+
+
+@query("op7_url_filter")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.urls import Rule, judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"), [Rule.parse(r) for r in URL_RULES])
