@@ -126,3 +126,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.urls import Rule, judge_urls
 
     return judge_urls(table(spark, sf_dir, "pages"), [Rule.parse(r) for r in URL_RULES])
+
+
+@query("op5_embedding_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.vectors import link_vectors
+
+    return link_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
