@@ -133,3 +133,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.vectors import link_vectors
 
     return link_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
