@@ -140,3 +140,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.licenses import scan_licenses
 
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.suffixes import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=50).drop("spans")
