@@ -23,7 +23,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +35,8 @@ SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 @dataclass(frozen=True)
 class Rules:
     """``threshold`` is the share of an item's own score; ``overlap`` the share of the question's, and of the answer's,
-    distinct word pairs that the passage must hold. Items longer than ``item_words`` are indexed in pieces of it."""
+    distinct word pairs that the passage must hold. Items longer than ``item_words`` are indexed in pieces of it. An
+    index holds at most ``slice_items`` pieces, so at most ``slice_items * item_words`` terms: that bounds a broadcast."""
 
     threshold: float = 0.5
     overlap: float = 0.5
@@ -42,7 +44,7 @@ class Rules:
     k1: float = 1.2
     b: float = 0.75
     block_items: int = 4
-    slice_items: int = 4096
+    slice_items: int = 1024
 
 
 def words(text: str) -> list[str]:
@@ -200,20 +202,25 @@ def indexes(items: DataFrame, rules: Rules, *, item_col: str = "item_id", text_c
     n, total = own.agg(F.count("*"), F.sum(F.size("words"))).first()
     last = None
     while n:
-        rows = (own if last is None else own.filter(F.struct("item", "text") > F.struct(F.lit(last[0]), F.lit(last[1])))).select("item", "text").distinct().orderBy("item", "text").limit(rules.slice_items).collect()
+        later = F.lit(True) if last is None else (F.col("item") > last[0]) | ((F.col("item") == last[0]) & (F.col("text") > last[1]))
+        rows = own.filter(later).select("item", "text").distinct().orderBy("item", "text").limit(rules.slice_items).collect()
         if not rows:
             return
         last = rows[-1]
         pieces = [p for r in rows for p in pieces_of(r["item"], r["text"], rules.item_words)]
         vocabulary = items.sparkSession.createDataFrame([(t,) for t in {t for p in pieces for t in p.tokens}] or [("",)], "t string")
         df = own.select(F.explode(F.array_distinct("words")).alias("t")).join(vocabulary, "t").groupBy("t").agg(F.count("*").alias("c"))
-        yield Index(pieces, {r["t"]: r["c"] for r in df.collect()}, n, max(1.0, (total or 0) / n), rules)
+        df = {r["t"]: r["c"] for r in df.collect()}
+        for at in range(0, len(pieces), rules.slice_items):
+            yield Index(pieces[at:at + rules.slice_items], df, n, max(1.0, (total or 0) / n), rules)
 
 
-def leak_udf(index):
+def leak_udf(spark: SparkSession, index: Index):
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(index))
+
     @F.pandas_udf("array<struct<item: long, score: double>>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = index.value
+        own = cloudpickle.loads(sent.value)
         for texts in batches:
             yield pd.Series([[{"item": i, "score": s} for i, s in sorted(own.leaks(t).items())] for t in texts], dtype=object)
     return found
@@ -236,12 +243,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, rules: Rules = Rules(), *, id_
 
 def _found(docs: DataFrame, items: DataFrame, rules: Rules, text_col: str) -> DataFrame:
     none = F.array().cast("array<struct<item: long, score: double>>")
-    hits = [leak_udf(docs.sparkSession.sparkContext.broadcast(index))(docs[text_col]) for index in indexes(items, rules)]
+    hits = [leak_udf(docs.sparkSession, index)(docs[text_col]) for index in indexes(items, rules)]
     return docs.withColumn("hits", F.concat(*hits) if hits else none)
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, rules: Rules = Rules(), *, text_col: str = "text") -> DataFrame:
     """Whole rows of documents without a test item."""
     for index in indexes(items, rules):
-        docs = docs.filter(F.size(leak_udf(docs.sparkSession.sparkContext.broadcast(index))(docs[text_col])) == 0)
+        docs = docs.filter(F.size(leak_udf(docs.sparkSession, index)(docs[text_col])) == 0)
     return docs
