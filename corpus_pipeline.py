@@ -25,8 +25,9 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognised language go: null, empty and letterless texts, and those under half sure."""
-    return keep_known(docs, min_score=0.5)
+    """Documents without a recognised language go: null, empty and letterless texts, and those
+    whose best class has a probability under 0.3."""
+    return keep_known(docs, min_score=0.3)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

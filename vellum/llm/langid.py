@@ -161,7 +161,10 @@ def fit(docs: DataFrame, plan: Plan = Plan(), *, id_col: str = "doc_id", text_co
                 x.append(windows(part.encode("utf-8", "replace")[: plan.window], plan.window)[0])
                 y.append(langs.index(r["lang"]))
     if x:
-        net.train(np.stack(x), np.array(y))
+        whole, rng = np.stack(x), np.random.default_rng(plan.seed)
+        # once more with only so many bytes of each window: texts may be short
+        short = np.where(np.arange(plan.window) < rng.integers(6, plan.window, len(x))[:, None], whole, 0).astype(np.uint8)
+        net.train(np.concatenate((whole, short)), np.array(y * 2))
     return net
 
 
@@ -215,7 +218,7 @@ def identify(docs: DataFrame, net: Network | None = None, *, id_col: str = "doc_
     return found.select(id_col, "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
-def keep_known(docs: DataFrame, min_score: float = 0.5, net: Network | None = None) -> DataFrame:
+def keep_known(docs: DataFrame, min_score: float = 0.3, net: Network | None = None) -> DataFrame:
     """Whole rows of documents whose language is recognised with at least ``min_score``."""
     p = classifier(net or fit(docs))(docs["text"])
     return docs.filter((p["lang"] != UNKNOWN) & (p["score"] >= min_score))
