@@ -46,17 +46,17 @@ def near(a: str, b: str) -> bool:
     return a[i + (len(a) == len(b)):] == b[i + 1:]
 
 
-def half_keys(line: str) -> list[int]:
-    """Hashes of the halves that this line shares with every near line at one end or the other.
+def half_keys(line: str) -> tuple[int, ...]:
+    """Hashes of the halves that this line shares with every near line at one end or the other: first and last, twice.
 
     Of two near lines the shorter has n characters and both agree in the first
     or the last n // 2; a line is the shorter one, or is one longer than it.
+    Where the two lengths are one, the second pair is (0, 0), which is no key.
     """
-    n = len(line)
-    out = []
-    for h in {n // 2, (n - 1) // 2}:
-        out += [xxhash.xxh64_intdigest(line[:h], 2 * h), xxhash.xxh64_intdigest(line[n - h:], 2 * h + 1)]
-    return out
+    n, digest = len(line), xxhash.xxh64_intdigest
+    h, g = n // 2, (n - 1) // 2
+    out = (digest(line[:h], 2 * h), digest(line[n - h:], 2 * h + 1))
+    return out + ((0, 0) if g == h else (digest(line[:g], 2 * g), digest(line[n - g:], 2 * g + 1)))
 
 
 def variant_hashes(line: str) -> np.ndarray:
@@ -87,31 +87,33 @@ def _mix(h: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def _signed(values) -> np.ndarray:
-    return np.fromiter(values, np.uint64).view(np.int64)
+NO_KEYS = (0, 0, 0, 0)
+KEYS = [f"k{i}" for i in range(4)]
 
 
 def line_rows(min_chars: int):
-    """Per line that isn't blank: its document, place, two hashes, and half keys if it can be near another."""
+    """Per line that isn't blank: its document, place, two hashes, and half keys (0: none) if it can be near another."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            did, th, place, digests, keys = [], [], [], [], []
-            for d, h, text in zip(batch["did"], batch["th"], batch["text"], strict=True):
+            counts, place, digests, keys = [], [], [], []
+            for text in batch["text"]:
+                had = len(place)
                 for i, line in enumerate((text or "").split("\n")):
                     line = normal(line)
                     if line:
-                        did.append(d), th.append(h), place.append(i)
+                        place.append(i)
                         digests.append(xxhash.xxh3_128_digest(line))
-                        keys.append(_signed(half_keys(line)) if len(line) >= min_chars else None)
+                        keys.append(half_keys(line) if len(line) >= min_chars else NO_KEYS)
+                counts.append(len(place) - had)
             two = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"did": did, "th": th, "place": place, "h1": two[:, 0], "h2": two[:, 1], "halves": keys})
+            four = np.array(keys, np.uint64).reshape(-1, 4).view(np.int64)
+            yield pd.DataFrame({"did": np.repeat(batch["did"].to_numpy(), counts), "th": np.repeat(batch["th"].to_numpy(), counts), "place": np.array(place, np.int32),
+                                "h1": two[:, 0], "h2": two[:, 1]} | {k: four[:, i] for i, k in enumerate(KEYS)})
     return run
 
 
-LINE = "did long, th long, place int, h1 long, h2 long, halves array<long>"
-
-
+LINE = "did long, th long, place int, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long"
 VARIANT = "nid long, at int, variant long, did long, th long, place int, line string"
 
 
@@ -121,17 +123,32 @@ def variant_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     A line that shares its first (last) half is only changed after (before) it.
     """
     for batch in batches:
+        rows, at, variant = [], [], []
         for text, did, th, sides in zip(batch["text"], batch["did"], batch["th"], batch["sides"], strict=True):
             lines = text.split("\n")
             first, last = ({s["place"] for s in sides if s["side"] == k} for k in (0, 1))
             for p in first | last:
                 line = normal(lines[p])
                 n, h = len(line), (len(line) - 1) // 2
-                at = np.arange(-1, n, dtype=np.int32)
-                out = pd.DataFrame({"nid": node_id(line), "at": at, "variant": np.concatenate(([np.uint64(whole_hash(line))], variant_hashes(line))).view(np.int64),
-                                    "did": pd.array([did] + [None] * n, "Int64"), "th": pd.array([th] + [None] * n, "Int64"),
-                                    "place": pd.array([p] + [None] * n, "Int32"), "line": [line] + [None] * n})
-                yield out[(at < 0) | ((at >= h) & (p in first)) | ((at < n - h) & (p in last))]
+                low, high = (0 if p in last else h), (n if p in first else n - h)
+                rows.append((node_id(line), did, th, p, line, high - low + 1))
+                at.append(np.concatenate(([-1], np.arange(low, high))))
+                variant.append(np.concatenate(([np.uint64(whole_hash(line))], variant_hashes(line)[low:high])))
+            if sum(len(x) for x in at[-64:]) > 1 << 16 or len(rows) > 2000:
+                yield _variants(rows, at, variant)
+                rows, at, variant = [], [], []
+        if rows:
+            yield _variants(rows, at, variant)
+
+
+def _variants(rows: list[tuple], at: list[np.ndarray], variant: list[np.ndarray]) -> pd.DataFrame:
+    nid, did, th, place, line, size = zip(*rows, strict=True)
+    out = pd.DataFrame({"nid": np.repeat(np.array(nid, np.int64), size), "at": np.concatenate(at).astype(np.int32), "variant": np.concatenate(variant).view(np.int64)})
+    own = np.concatenate(([0], np.cumsum(size)[:-1]))  # what is said once, with the line itself
+    for c, v, kind in (("did", did, "Int64"), ("th", th, "Int64"), ("place", place, "Int32"), ("line", line, "object")):
+        out[c] = pd.Series(pd.array(v, kind) if kind != "object" else list(v), index=own, dtype=kind).reindex(out.index)
+    out["line"] = out["line"].where(out["line"].notna(), None)
+    return out
 
 
 def node_id(line: str) -> int:
@@ -144,9 +161,9 @@ def dropped_lines(docs: DataFrame, *, id_col: str, text_col: str, min_chars: int
     texts = docs.select(id_key(F.col(id_col)).alias("did"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     rows = scratch.put(texts.mapInPandas(line_rows(min_chars), LINE), "rows")
     order = F.struct("did", "th", "place")
-    nodes = rows.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
+    nodes = rows.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count("*").alias("n"), *(F.first(k).alias(k) for k in KEYS))
     nodes = scratch.put(nodes, "nodes")
-    half = nodes.select("first", F.posexplode("halves").alias("i", "half"))
+    half = nodes.select("first", F.posexplode(F.array(*KEYS)).alias("i", "half")).filter("half <> 0")
     shared = half.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
     chosen = half.join(shared, "half", "left_semi").select("first.*", (F.col("i") % 2).alias("side")).distinct()
     chosen = chosen.groupBy("did", "th").agg(F.collect_set(F.struct("place", "side")).alias("sides"))
