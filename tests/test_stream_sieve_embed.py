@@ -54,7 +54,7 @@ def test_sieve_gap_rule_and_roles(spark):
     assert roles[(1, "1,234")] == "number" and roles[(1, "Apples")] == "text"
     assert roles[(1, "2024-01-31")] == "iso_date" and roles[(1, "USD")] == "code"
     assert roles[(1, "$12.5")] == "numeric"
-    assert roles[(1, "Pears green")] == "text"  # tokens pears+green, domain key is the label "pears green"
+    assert roles[(1, "Pears green")] == "domain:fruit"  # a label of two words matches as a whole
     grid = sorted((r.cid, r.text) for r in S.cells(S.lines(_boxes(spark, rows), styles)).filter("doc_id = 2").collect())
     assert grid == [(1, "a"), (2, "b")]
     summ = {r.doc_id: (r.total_cells, r.resolved_cells) for r in S.summary(cls).collect()}

@@ -36,7 +36,7 @@ def per_million(x) -> Column:
 
 def to_number(x) -> Column:
     """H8: numeric value of a text after removing ``,`` and ``$``."""
-    return F.expr(f"try_cast(translate({_sql(x)}, ',$', '') as double)")
+    return F.translate(_c(x), ",$", "").try_cast("double")
 
 
 def name_key(x) -> Column:
