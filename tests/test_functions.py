@@ -54,13 +54,14 @@ def test_tiers_provider_scoped(spark):
 
 
 def test_reply_shapes(spark):
-    rec = '[{"id": "m1", "input": 1.0, "output": 2.0}, {"id": "m2", "input": 1.0}]'
+    rec = '[{"model_id": "m1", "input_per_mtok": 1.0, "output_per_mtok": 2.0, "cache_read_per_mtok": 0.1}, {"model_id": "m2", "input_per_mtok": 1.0}]'
     replies = spark.createDataFrame([
         (1, rec), (2, "```json\n" + rec + "\n```"), (3, "```\n" + rec + "\n```"), (4, "Sure:\n" + rec),
-        (5, '{"data": ' + rec + "}"), (6, rec + "\nthanks"), (7, "no json here")], "k int, content string")
+        (5, '{"models": 1, "data": ' + rec + "}"), (6, rec + "\nsee [docs]"), (7, "no json here")], "k int, content string")
     got = P.reply_records(replies).collect()
     assert sorted({r.k for r in got}) == [1, 2, 3, 4, 5]
-    assert all(r.model == "m1" for r in got)  # record lacking a price dropped
+    assert all(r.model == "m1" and r.cache_read_per_mtok == 0.1 for r in got)  # record lacking a price dropped
+    assert sorted((r.k, r.item) for r in P.reply_rejects(replies).collect() if r.item is None) == [(6, None), (7, None)]
 
 
 def test_text_helpers(spark):
@@ -68,6 +69,7 @@ def test_text_helpers(spark):
     assert one(spark, X.strip_outer_quotes("x"), "'a\"") == "'a\""
     assert one(spark, X.unescape_payload("x"), 'a\\\\"b\\"c\\nd\\/e') == 'a"b"c\nd/e'
     assert one(spark, X.fold_label("x"), "Réunion Ça") == "reunion ca"
+    assert one(spark, X.fold_label("x"), "Hà Nội e\u0301 ΆΩ й") == "ha noi e αω и"
     assert one(spark, X.to_number("x"), "$1,234.5") == 1234.5
     assert one(spark, X.name_key("x"), "__Customer_ID_") == "customer_id"
     assert one(spark, X.ref_tail("x"), "#/components/schemas/Currency") == "Currency"

@@ -9,10 +9,9 @@ def plan_text(df):
 
 
 def test_registry_and_oracles():
-    q, o = E.queries(), E.oracle_sql()
-    assert len(q) >= 60 and set(o) <= set(q)
-    rows_only = set(q) - set(o)
-    assert rows_only == {"embed_populate"}
+    q, o = QUERIES, ORACLE
+    assert len(q) >= 60 and set(o) == set(q)
+    assert set(q) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
     assert all(FAMILY[n] for n in q)
 
 
@@ -38,6 +37,4 @@ def test_filters_and_pruning_reach_scan(spark):
 
 def test_every_query_runs_on_smoke_data(spark):
     for name, fn in QUERIES.items():
-        if name in ("table_similarity",):
-            continue
-        fn(spark, SMOKE).limit(1).collect()
+        fn(spark, SMOKE).write.format("noop").mode("overwrite").save()

@@ -12,6 +12,6 @@ DataFrame / Spark SQL plans:
 * ``streaming``  — Structured Streaming feeds into temporal history
 """
 
-from vellum.session import get_spark, checkpoint_dir  # noqa: F401
+from vellum.session import get_spark  # noqa: F401
 
-__all__ = ["get_spark", "checkpoint_dir"]
+__all__ = ["get_spark"]

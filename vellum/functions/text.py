@@ -71,16 +71,13 @@ def parse_iso_ts(x) -> Column:
 
 
 def _fold_table() -> tuple[str, str]:
-    """Lower-case Latin letters (U+00C0..U+024F) whose canonical decomposition
-    starts with an ASCII letter, and that letter — built from the Unicode
-    database so ``translate`` can fold accents without leaving the JVM."""
+    """Every letter of the basic plane that is one letter and marks when decomposed, and that letter — by rule from
+    the Unicode database, so ``translate`` folds accents of all scripts without leaving the JVM."""
     src, dst = [], []
-    for cp in range(0xC0, 0x250):
+    for cp in range(0xC0, 0xFFFE):
         ch = chr(cp)
-        if not ch.islower():
-            continue
-        base = unicodedata.normalize("NFD", ch)[0]
-        if base != ch and base.isascii() and base.isalpha():
+        base = "".join(c for c in unicodedata.normalize("NFD", ch) if not unicodedata.combining(c))
+        if base != ch and len(base) == 1 and base.isalpha() and ch.lower() == ch:
             src.append(ch)
             dst.append(base)
     return "".join(src), "".join(dst)
@@ -90,8 +87,8 @@ ACCENTED, PLAIN = _fold_table()
 
 
 def fold_label(x) -> Column:
-    """H19 (raw): lower case with Latin diacritics folded away."""
-    return F.translate(F.lower(_c(x)), ACCENTED, PLAIN)
+    """H19 (raw): lower case with marks folded away, of composed and of decomposed letters."""
+    return F.regexp_replace(F.translate(F.lower(_c(x)), ACCENTED, PLAIN), r"\p{Mn}+", "")
 
 
 def _sql(x) -> str:

@@ -63,11 +63,11 @@ def union_of(df: DataFrame, constraint_sets: list[dict], key: str) -> DataFrame:
 
 
 def cosine_distance(a: Column, b: Column) -> Column:
-    """1 - cos(a, b) over double arrays (JVM higher-order functions)."""
+    """1 - cos(a, b) over double arrays (JVM higher-order functions); null for a zero vector."""
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     na = F.sqrt(F.aggregate(F.transform(a, lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
     nb = F.sqrt(F.aggregate(F.transform(b, lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
-    return F.lit(1.0) - dot / (na * nb)
+    return F.lit(1.0) - F.try_divide(dot, na * nb)
 
 
 def centroid(df: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -97,43 +97,13 @@ def best_per(df: DataFrame, qvec: DataFrame, group: str, k: int, key: str,
     return top_k(d, group, [F.col("dist"), F.col(key)], k, salt_on=key)
 
 
-def hashing_embedder(dim: int = 64):
-    """Deterministic stand-in embedder: signed feature hashing of lower-case
-    tokens, L2-normalised (tests and pipelines without a model runtime)."""
-    import zlib
+def hashed_vectors(df: DataFrame, key: str, text: Column, dim: int = 64) -> DataFrame:
+    """P4, without a model: signed word counts in ``dim`` hashed places, ``(key, embedding)``.
 
-    def embed(texts: pd.Series) -> list:
-        out = []
-        for t in texts.fillna(""):
-            v = np.zeros(dim, dtype=np.float32)
-            for tok in t.lower().split():
-                h = zlib.crc32(tok.encode("utf-8"))
-                v[h % dim] += 1.0 if (h >> 16) & 1 else -1.0
-            n = np.linalg.norm(v)
-            out.append((v / n if n else v).tolist())
-        return out
-
-    return embed
-
-
-def populate(df: DataFrame, key: str, text: Column, embedder=None, dim: int = 64,
-             batch_rows: int = 1000) -> DataFrame:
-    """Render -> embed in Arrow batches -> ``(key, embedding, error)``.
-
-    A failing batch is kept as rows with ``error`` set instead of being lost.
+    A word's place is its crc32 modulo ``dim``, its sign a bit of the crc32;
+    a null or empty text has the zero vector.
     """
-    embed = embedder or hashing_embedder(dim)
-    src = df.select(F.col(key).alias("key"), text.alias("text"))
-
-    def run(batches):
-        for b in batches:
-            for start in range(0, len(b), batch_rows):
-                part = b.iloc[start:start + batch_rows]
-                try:
-                    vecs, err = embed(part["text"]), None
-                except Exception as e:  # noqa: BLE001 — reported per batch
-                    vecs, err = [None] * len(part), str(e)[:200]
-                yield pd.DataFrame({"key": part["key"].values, "embedding": vecs, "error": err})
-
-    schema = f"key {dict(src.dtypes)['key']}, embedding array<float>, error string"
-    return src.mapInPandas(run, schema)
+    crcs = F.transform(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != ""), lambda w: F.crc32(w.cast("binary")))
+    one = lambda c: F.when(F.shiftright(c, 16).bitwiseAND(F.lit(1)) == 1, 1.0).otherwise(-1.0)
+    place = lambda i: F.aggregate(F.filter(F.col("_vl_crcs"), lambda c: c % dim == i), F.lit(0.0), lambda s, c: s + one(c))
+    return df.select(F.col(key).alias("key"), crcs.alias("_vl_crcs")).select("key", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), place).alias("embedding"))

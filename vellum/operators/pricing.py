@@ -70,33 +70,52 @@ def usage_cost(usage: DataFrame, prices: DataFrame, model_col: str = "model") ->
                                  + F.col("completion_tokens") * F.col("output_per_mtok")) / F.lit(1e6))
 
 
-def reply_records(replies: DataFrame, content: str = "content") -> DataFrame:
-    """H11 + Q3 + Q5: replies -> one row per priced record.
+#: The fields of a price record, as replies name them.
+PRICE_FIELDS = ("input_per_mtok", "output_per_mtok", "cache_write_5m_per_mtok", "cache_write_1h_per_mtok",
+                "cache_read_per_mtok", "batch_input_per_mtok", "batch_output_per_mtok")
+
 
-    Strips a code fence (with or without a ``json`` tag), skips any preamble
-    up to the first ``[`` or ``{``, unwraps ``models`` / ``data`` /
-    ``pricing``; a reply with text after the JSON value yields no rows, as a
-    strict parser would reject it; records lacking id or a price are dropped.
+def _reply_items(replies: DataFrame, content: str) -> DataFrame:
+    """Each reply with ``_vl_items``, its records as JSON texts; null if it is not JSON or holds no list.
+
+    A code fence (with or without a ``json`` tag) is taken off and what comes
+    before the first ``[`` or ``{`` skipped; the rest must be one JSON value
+    without text after it: a list, or an object with a list under ``models``,
+    ``data`` or ``pricing``, the first of them that is one.
     """
-    c = F.col(content)
+    c = F.trim(F.col(content))
     fenced = F.regexp_extract(c, r"(?s)```(?:json)?\s*(.*?)```", 1)
-    d = replies.withColumn("_vl_body", F.when(fenced != "", fenced).otherwise(c))
-    # skip any preamble: the value starts at the first '[' or '{'
-    d = d.withColumn("_vl_js", F.expr(
-        "trim(substring(_vl_body, least(nullif(locate('[', _vl_body), 0), nullif(locate('{', _vl_body), 0))))"))
-    # strict end: the value must close the text (no trailing prose)
-    strict = F.col("_vl_js").rlike(r"(?s)^[\[{].*[\]}]$")
-    arr = F.when(F.col("_vl_js").startswith("["), F.col("_vl_js")).otherwise(
-        F.coalesce(F.get_json_object("_vl_js", "$.models"), F.get_json_object("_vl_js", "$.data"),
-                   F.get_json_object("_vl_js", "$.pricing")))
-    schema = "array<struct<id:string,input:double,output:double>>"
-    rows = d.filter(strict).select(*[x for x in replies.columns if x != content],
-                                   F.explode(F.from_json(arr, schema)).alias("_r"))
-    return rows.select(*[x for x in replies.columns if x != content],
-                       F.col("_r")["id"].alias("model"), F.col("_r")["input"].alias("input_per_mtok"),
-                       F.col("_r")["output"].alias("output_per_mtok")) \
-               .filter(F.col("model").isNotNull() & F.col("input_per_mtok").isNotNull()
-                       & F.col("output_per_mtok").isNotNull())
+    body = F.regexp_replace(F.when(fenced != "", fenced).otherwise(c), r"(?s)\A[^\[{]*", "")
+    # parsers stop at a value's end: as an array's only item it must fill the text
+    alone = F.concat(F.lit("["), body, F.lit("]"))
+    whole = F.when(F.try_parse_json(alone).isNotNull() & (F.size(F.from_json(alone, "array<string>")) == 1), body)
+    listed = [F.get_json_object(whole, f"$.{k}") for k in ("models", "data", "pricing")]
+    array = F.when(whole.startswith("["), whole).otherwise(F.coalesce(*[F.when(x.startswith("["), x) for x in listed]))
+    return replies.withColumn("_vl_items", F.from_json(array, "array<string>"))
+
+
+def reply_records(replies: DataFrame, content: str = "content") -> DataFrame:
+    """H11 + Q3 + Q5: one row per priced record, with its model id normalised and all seven prices.
+
+    A record without a model id, an input or an output price is left to
+    :func:`reply_rejects`; a price that is no number counts as missing.
+    """
+    keep = [x for x in replies.columns if x != content]
+    rows = _reply_items(replies, content).select(*keep, F.explode("_vl_items").alias("_r"))
+    rows = rows.select(*keep, model_id_normalise(F.get_json_object("_r", "$.model_id")).alias("model"),
+                       *[F.get_json_object("_r", f"$.{f}").try_cast("double").alias(f) for f in PRICE_FIELDS])
+    return rows.filter((F.col("model") != "") & F.col("input_per_mtok").isNotNull() & F.col("output_per_mtok").isNotNull())
+
+
+def reply_rejects(replies: DataFrame, content: str = "content") -> DataFrame:
+    """Q4: what ``reply_records`` left out, with a reason: whole replies (``item`` null) and single records."""
+    keep = [x for x in replies.columns if x != content]
+    d = _reply_items(replies, content).select(*keep, F.posexplode_outer(F.coalesce("_vl_items", F.array(F.lit(None).cast("string")))).alias("item", "_r"), F.col("_vl_items").isNull().alias("_bad"))
+    lacks = F.coalesce(F.get_json_object("_r", "$.model_id"), F.lit("")) == ""
+    for f in PRICE_FIELDS[:2]:
+        lacks = lacks | F.get_json_object("_r", f"$.{f}").try_cast("double").isNull()
+    reason = F.when(F.col("_bad"), "no list of records").when(F.col("item").isNotNull() & lacks, "record without id or price")
+    return d.select(*keep, F.when(~F.col("_bad"), F.col("item")).alias("item"), reason.alias("reason")).filter("reason is not null")
 
 
 def normalised_ids(df: DataFrame, col: str) -> DataFrame:

@@ -30,6 +30,13 @@ def _order_struct(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
 
 
+def null_safe_left(d: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join on ``on`` in which null keys meet each other, as they do in a window."""
+    marked = other.select(*[F.col(c).alias(f"_vl_on_{c}") if c in on else F.col(c) for c in other.columns])
+    cond = [F.col(c).eqNullSafe(F.col(f"_vl_on_{c}")) for c in on]
+    return d.join(marked, on=cond, how="left").drop(*[f"_vl_on_{c}" for c in on])
+
+
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                values: Sequence[str], *, prev: bool = True, nxt: bool = True,
                bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
@@ -65,7 +72,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if nxt:
         summ = summ.withColumn("_vl_bnext", F.lead("_vl_first").over(wb))
         cols.append("_vl_bnext")
-    d = d.join(summ.select(*cols), on=[*keys, BUCKET], how="left")
+    d = null_safe_left(d, summ.select(*cols), [*keys, BUCKET])
 
     out = d
     for v in values:
@@ -104,10 +111,10 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # earlier bucket.  Buckets without a source row still need a carry-in,
     # so the bucket list comes from all rows (one row per key-bucket).
     kb = d.select(*keys, BUCKET).distinct()
-    summ = (kb.join(summ, on=[*keys, BUCKET], how="left")
+    summ = (null_safe_left(kb, summ, [*keys, BUCKET])
               .withColumn("_vl_carry", F.last("_vl_last", ignorenulls=True).over(wb))
               .select(*keys, BUCKET, "_vl_carry"))
-    d = d.join(summ, on=[*keys, BUCKET], how="left")
+    d = null_safe_left(d, summ, [*keys, BUCKET])
     return (d.withColumn(out, F.coalesce(F.col("_vl_in"), F.col("_vl_carry")))
              .drop("_vl_in", "_vl_carry", "_vl_src", BUCKET))
 
@@ -130,6 +137,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     d = d.withColumn("_vl_in", F.sum(value).over(w))
     tot = d.groupBy(*keys, BUCKET).agg(F.sum(value).alias("_vl_bt"))
     wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_vl_carry", F.coalesce(F.sum("_vl_bt").over(wb), F.lit(0))).drop("_vl_bt")
-    d = d.join(tot, on=[*keys, BUCKET], how="left")
-    return d.withColumn(out, F.col("_vl_in") + F.col("_vl_carry")).drop("_vl_in", "_vl_carry", BUCKET)
+    tot = tot.withColumn("_vl_carry", F.sum("_vl_bt").over(wb)).drop("_vl_bt")
+    d = null_safe_left(d, tot, [*keys, BUCKET])
+    # like a window sum: null until the first value, then carried over nulls
+    return d.withColumn(out, F.coalesce(F.col("_vl_in") + F.col("_vl_carry"), F.col("_vl_carry"), F.col("_vl_in"))).drop("_vl_in", "_vl_carry", BUCKET)

@@ -66,7 +66,7 @@ def operations(path_rows: DataFrame) -> DataFrame:
                       F.get_json_object("op", "$.operationId").alias("operation_name"),
                       F.get_json_object("op", "$.summary").alias("summary"),
                       F.get_json_object("op", "$.description").alias("description"),
-                      F.coalesce(F.get_json_object("op", "$.deprecated").cast("boolean"),
+                      F.coalesce(F.get_json_object("op", "$.deprecated").try_cast("boolean"),
                                  F.lit(False)).alias("deprecated"),
                       F.get_json_object("op", "$.tags").alias("tags"),
                       "item", "op")
@@ -90,7 +90,7 @@ def parameters(op_rows: DataFrame) -> DataFrame:
     return r.select(*SPEC_KEY, "path", "method", "ordinal",
                     F.coalesce(F.col("p")["n"], F.lit("")).alias("name"),
                     F.coalesce(F.col("p")["l"], F.lit("query")).alias("location"),
-                    F.coalesce(F.get_json_object(j, "$.required").cast("boolean"), F.lit(False)).alias("required"),
+                    F.coalesce(F.get_json_object(j, "$.required").try_cast("boolean"), F.lit(False)).alias("required"),
                     F.get_json_object(j, "$.schema").alias("schema_json"),
                     F.get_json_object(j, "$.description").alias("description"))
 

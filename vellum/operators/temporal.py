@@ -90,11 +90,9 @@ def snapshot_diff(history: DataFrame, keys: Sequence[str], tracked: Sequence[str
                   t1, t2) -> DataFrame:
     """Added / removed / changed keys between two as-of views."""
     keys, tracked = list(keys), list(tracked)
-    a = as_of(history, t1).select(*keys, *tracked).alias("a")
-    b = as_of(history, t2).select(*keys, *tracked).alias("b")
-    j = a.join(b, on=[F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys], how="full_outer")
-    a_missing = F.col(f"a.{keys[0]}").isNull()
-    b_missing = F.col(f"b.{keys[0]}").isNull()
+    a, b = (as_of(history, t).select(*keys, *tracked, F.lit(True).alias("_vl_here")).alias(n) for n, t in (("a", t1), ("b", t2)))
+    j = a.join(b, on=[F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], how="full_outer")
+    a_missing, b_missing = F.col("a._vl_here").isNull(), F.col("b._vl_here").isNull()
     change = (F.when(a_missing, F.lit("added"))
                .when(b_missing, F.lit("removed"))
                .when(~same(tracked), F.lit("changed")))
@@ -120,7 +118,7 @@ def upsert(history: DataFrame, snapshot: DataFrame, keys: Sequence[str],
     snap = (dedupe_last(snap, keys, [ordinal]).drop(ordinal) if ordinal
             else snap.dropDuplicates(keys))
     cur = current(history).select(*keys, *tracked, SYS_FROM).alias("a")
-    j = snap.alias("b").join(cur, on=[F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys], how="left")
+    j = snap.alias("b").join(cur, on=[F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], how="left")
     action = (F.when(F.col(f"a.{SYS_FROM}").isNull(), F.lit("new"))
                .when(same(tracked), F.lit("unchanged"))
                .otherwise(F.lit("changed")))

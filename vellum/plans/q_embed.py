@@ -109,12 +109,12 @@ def embedding_text(t):
     return p.select(F.col("p_partkey").alias("key"), txt.alias("text"))
 
 
-@query("embed_populate")
+@query("embed_populate", oracle="""
+SELECT p_partkey AS key, 64 AS dim, CAST(len(list_filter(string_split(lower(p_name || ' (' || p_brand || ') size ' || p_size), ' '), lambda w: w <> '')) AS BIGINT) % 2 AS parity
+FROM part""")
 def embed_populate(t):
-    """Render -> embed in Arrow batches (hashing embedder) -> vectors;
-    rows-only check (the embedder is a stand-in for a model runtime)."""
-    p = t.part
+    """Rendered text to hashed word vectors. Every word adds or takes one, so the components' sum has the parity of the word count."""
     txt = template_fill("{{ p_name }} ({{p_brand}}) size {{ p_size }}",
                         {"p_name": F.col("p_name"), "p_brand": F.col("p_brand"), "p_size": F.col("p_size")})
-    out = E.populate(p, "p_partkey", txt)
-    return out.select("key", F.size("embedding").alias("dim"), "error")
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + F.abs(x))
+    return E.hashed_vectors(t.part, "p_partkey", txt).select("key", F.size("embedding").alias("dim"), (total.cast("long") % 2).alias("parity"))

@@ -141,29 +141,40 @@ def usage_cost_by_role(t):
 
 
 def replies(t):
-    """One model reply per part in six shapes chosen by ``p_type``."""
+    """One model reply per part in six shapes chosen by ``p_type``; every seventh part has a record without a price too."""
     p = listing(t).join(t.part.select("p_partkey", "p_type"), "p_partkey")
-    rec = F.to_json(F.array(F.struct(F.col("model_id").alias("id"),
-                                     F.col("p_partkey").cast("double").alias("input"),
-                                     (F.col("p_partkey") * 2).cast("double").alias("output"))))
+    key = F.col("p_partkey")
+    rec = F.to_json(F.struct(F.col("raw_id").alias("model_id"), key.cast("double").alias("input_per_mtok"), (key * 2).cast("double").alias("output_per_mtok"),
+                             (key * 0.5).cast("double").alias("cache_read_per_mtok"), (key * 0.25).cast("double").alias("batch_input_per_mtok")))
+    rec = F.concat(F.lit("["), rec, F.when(key % 7 == 0, ', {"model_id": "half", "input_per_mtok": "n/a", "output_per_mtok": 1}').otherwise(""), F.lit("]"))
     content = (F.when(F.col("p_type") == "ECONOMY", rec)
                 .when(F.col("p_type") == "SMALL", F.concat(F.lit("```json\n"), rec, F.lit("\n```")))
                 .when(F.col("p_type") == "STANDARD", F.concat(F.lit("```\n"), rec, F.lit("\n```")))
                 .when(F.col("p_type") == "PROMO", F.concat(F.lit("Here are the prices:\n"), rec))
-                .when(F.col("p_type") == "LARGE", F.concat(F.lit('{"models": '), rec, F.lit("}")))
-                .otherwise(F.concat(rec, F.lit("\nLet me know if you need more."))))
+                .when(F.col("p_type") == "LARGE", F.concat(F.lit('{"models": 3, "data": '), rec, F.lit("}")))
+                .otherwise(F.concat(rec, F.lit("\nsee [docs]"))))
     return p.select("p_partkey", content.alias("content"))
 
 
 @query("reply_parse", oracle=f"""WITH {_LISTING_SQL}
-SELECT l.p_partkey, l.model_id AS model, CAST(l.p_partkey AS DOUBLE) AS input_per_mtok,
-       CAST(l.p_partkey * 2 AS DOUBLE) AS output_per_mtok
+SELECT l.p_partkey, l.model_id AS model, CAST(l.p_partkey AS DOUBLE) AS input_per_mtok, CAST(l.p_partkey * 2 AS DOUBLE) AS output_per_mtok,
+       CAST(NULL AS DOUBLE) AS cache_write_5m_per_mtok, CAST(NULL AS DOUBLE) AS cache_write_1h_per_mtok, l.p_partkey * 0.5::DOUBLE AS cache_read_per_mtok,
+       l.p_partkey * 0.25::DOUBLE AS batch_input_per_mtok, CAST(NULL AS DOUBLE) AS batch_output_per_mtok
 FROM listing l JOIN part p ON l.p_partkey = p.p_partkey WHERE p.p_type <> 'MEDIUM'""")
 def reply_parse(t):
-    """H11 + Q3 + Q5: fences, preamble, wrappers, trailing prose -> rows."""
+    """H11 + Q3 + Q5: fences, text before, wrappers, text after -> price rows with all tiers."""
     return P.reply_records(replies(t))
 
 
+@query("reply_quarantine", oracle="""
+SELECT p_partkey, CASE WHEN p_type <> 'MEDIUM' THEN 1 END AS item,
+       CASE WHEN p_type = 'MEDIUM' THEN 'no list of records' ELSE 'record without id or price' END AS reason
+FROM part WHERE p_type = 'MEDIUM' OR p_partkey % 7 = 0""")
+def reply_quarantine(t):
+    """Q4: replies and records that yield no price, with the reason."""
+    return P.reply_rejects(replies(t))
+
+
 @query("page_metadata", oracle="""
 SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS host,
        regexp_extract(html, '<title>(.*?)</title>', 1) AS title,

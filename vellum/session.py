@@ -1,10 +1,7 @@
-"""Session construction and cluster-safe scratch locations."""
+"""Session construction."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every vellum session wants; values on an existing session win.
@@ -37,25 +34,4 @@ def get_spark(master: str | None = None, app: str = "vellum",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this setting names shared storage and is always honoured.
-    Only when it is unset (tests, local runs) a private folder is created.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="vellum-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediates."""
-    return os.path.join(checkpoint_dir(spark), name)
