@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vellum.operators import domains as D
 from vellum.operators import embeddings as E
+from vellum.operators import sequence as Q
 from vellum.operators import sieve as S
 from vellum.operators import temporal as T
 from vellum.streaming import history_feed as H
@@ -32,6 +33,29 @@ def test_stream_feed_rebuilds_chain(spark):
     assert T.integrity(h, ["k"]).count() == 0
 
 
+def test_late_observations_split_merged_versions(spark):
+    hist = os.path.join(tempfile.mkdtemp(prefix="vl-late-"), "h")
+    schema, t = "k string, t timestamp_ntz, v string", [dt.datetime(2024, 1, d) for d in (1, 20, 25, 28)]
+    batches = [[("a", t[0], "x"), ("a", t[2], "x"), (None, t[0], "n")], [("a", t[1], "y"), ("a", t[1], "w")], [(None, t[3], "n"), ("b", t[3], None)], []]
+    for i, rows in enumerate(batches):
+        for _ in range(2):  # a retried batch changes nothing
+            H.apply_batch(spark, spark.createDataFrame(rows, schema), i, hist, ["k"], "t", ["v"])
+    got = sorted(((r.k, r.v, r.sys_from, r.sys_to) for r in H.latest_history(spark, hist).collect()), key=repr)
+    want = [("a", "x", t[0], t[1]), ("a", "y", t[1], t[2]), ("a", "x", t[2], None), ("b", None, t[3], None), (None, "n", t[0], None)]
+    assert got == sorted(want, key=repr)
+
+
+def test_null_keys_and_values_in_sequences(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(None, t, 5), (None, t + dt.timedelta(days=30), 7), ("a", t, 5), ("a", t + dt.timedelta(days=30), None), ("a", t + dt.timedelta(days=60), 2), ("b", t, None)]
+    out = Q.running_sum(spark.createDataFrame(rows, "k string, t timestamp_ntz, v int"), ["k"], ["t"], "v")
+    assert sorted(((r.k, r.t, r.prev_v, r.running_v) for r in out.collect()), key=repr) == sorted(
+        [(None, rows[0][1], None, 5), (None, rows[1][1], 5, 12), ("a", t, None, 5), ("a", rows[3][1], 5, 5), ("a", rows[4][1], None, 7), ("b", t, None, None)], key=repr)
+    h = T.chain(spark.createDataFrame([(None, t, 1)], "k string, t timestamp_ntz, v int"), ["k"], "t", ["v"])
+    _, actions = T.upsert(h, spark.createDataFrame([(None, 1)], "k string, v int"), ["k"], ["v"], t + dt.timedelta(days=1))
+    assert [r.action for r in actions.collect()] == ["unchanged"]
+
+
 def _boxes(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, page_id int, style_id int, x double, y double, w double, h double, text string")
 

@@ -1,15 +1,19 @@
 """Observation feed -> transaction-time history, continuously.
 
-A Structured Streaming file source of observations is de-duplicated on
-``(key, observed_at)`` within a watermark and applied per micro-batch with
-``foreachBatch``: the chains of the keys touched by the batch are rebuilt
-(T3, so late and out-of-order observations land in the right place) and the
-untouched history passes through.
-
-Each batch writes a new version folder ``<history>/v=<batch_id>``; a retried
-batch rewrites the same folder from the same predecessor, so a lost executor
-or a restarted query never applies a batch twice.  Readers use
-:func:`latest_history`.  The checkpoint folder must be on shared storage.
+A Structured Streaming file source of observations is applied per micro-batch
+with ``foreachBatch``. Every observation is kept, in ``<path>/observations``,
+under the batch that brought it and a hash partition of its key; the history
+of the partitions that a batch touches is rebuilt from all their observations
+(T3), so an observation lands in the right place however late it comes, and
+the other partitions' history stays as it is.
+
+A batch writes folders of its own, ``v=<batch id>``; a retried batch rewrites
+the same folders from the same observations, so a lost executor or a restarted
+query never applies a batch twice. Of two values of one key at one instant the
+larger one holds, in whatever order they come. Readers use
+:func:`latest_history`; a partition's folder goes once a later batch than the
+next has replaced it. Paths and the checkpoint folder must be on shared
+storage.
 """
 
 from __future__ import annotations
@@ -21,52 +25,69 @@ from pyspark.sql import functions as F
 
 from vellum.operators import temporal as T
 
+PART = "_vl_part"
+PARTS = 64  # hash partitions of the keys; fixed for the life of a history
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
 
-def _versions(spark: SparkSession, history_path: str) -> list[int]:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(history_path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Batches whose folder is complete."""
+    fs, _ = _fs(spark, path)
+    return [v for v in _children(spark, path, "v=") if fs.exists(_fs(spark, f"{path}/v={v}/_SUCCESS")[1])]
+
+
+def _folders(spark: SparkSession, path: str) -> dict[int, list[int]]:
+    """By hash partition, the batches that rebuilt it, oldest first."""
+    out: dict[int, list[int]] = {}
+    for v in _versions(spark, path):
+        for part in _children(spark, f"{path}/v={v}", f"{PART}="):
+            out.setdefault(part, []).append(v)
+    return out
 
 
 def latest_history(spark: SparkSession, history_path: str) -> DataFrame | None:
-    v = _versions(spark, history_path)
-    return spark.read.parquet(f"{history_path}/v={v[-1]}") if v else None
+    """Of every hash partition its newest history; None before the first batch."""
+    base = f"{history_path}/history"
+    newest = [f"{base}/v={vs[-1]}/{PART}={part}" for part, vs in sorted(_folders(spark, base).items())]
+    return spark.read.parquet(*newest) if newest else None
 
 
 def apply_batch(spark: SparkSession, batch: DataFrame, batch_id: int, history_path: str,
                 keys: Sequence[str], ts: str, tracked: Sequence[str]) -> None:
     keys, tracked = list(keys), list(tracked)
-    prior = [v for v in _versions(spark, history_path) if v < batch_id]
-    obs = batch.select(*keys, F.col(ts).alias(T.SYS_FROM), *tracked)
-    if prior:
-        hist = spark.read.parquet(f"{history_path}/v={prior[-1]}")
-        touched = obs.select(*keys).distinct()
-        keep = hist.join(touched, keys, "left_anti")
-        old_obs = hist.join(touched, keys, "left_semi").select(*keys, T.SYS_FROM, *tracked)
-        rebuilt = T.chain(old_obs.unionByName(obs), keys, T.SYS_FROM, tracked)
-        new = keep.unionByName(rebuilt.select(*hist.columns))
-    else:
-        new = T.chain(obs, keys, T.SYS_FROM, tracked)
-    new.write.mode("overwrite").parquet(f"{history_path}/v={batch_id}")
+    log, base = f"{history_path}/observations", f"{history_path}/history"
+    obs = batch.select(*keys, F.col(ts).alias(T.SYS_FROM), *tracked).distinct()
+    obs.withColumn(PART, F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int")).write.mode("overwrite").partitionBy(PART).parquet(f"{log}/v={batch_id}")
+    touched = _children(spark, f"{log}/v={batch_id}", f"{PART}=")
+    if touched:
+        kept = [f"{log}/v={v}/{PART}={p}" for p, vs in _folders(spark, log).items() if p in touched for v in vs if v <= batch_id]
+        known = spark.read.parquet(*kept)
+        rebuilt = T.chain(known.select(*keys, T.SYS_FROM, *tracked), keys, T.SYS_FROM, tracked, tiebreak=tracked)
+        rebuilt = rebuilt.withColumn(PART, F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int"))
+        rebuilt.write.mode("overwrite").partitionBy(PART).parquet(f"{base}/v={batch_id}")
+    for part, vs in _folders(spark, base).items():
+        for v, after in zip(vs, vs[1:], strict=False):
+            if after < batch_id:  # a reader of the batch before this one may still be at work
+                fs, p = _fs(spark, f"{base}/v={v}/{PART}={part}")
+                fs.delete(p, True)
 
 
 def start(spark: SparkSession, source_dir: str, schema: str, history_path: str, checkpoint: str,
-          keys: Sequence[str], ts: str, tracked: Sequence[str], watermark: str = "1 day",
-          available_now: bool = True):
+          keys: Sequence[str], ts: str, tracked: Sequence[str], available_now: bool = True):
     """Start the feed; returns the ``StreamingQuery``."""
-    # watermarks need TIMESTAMP (LTZ); the session time zone is UTC
-    src = (spark.readStream.schema(schema).parquet(source_dir)
-                .withColumn("_vl_evt", F.col(ts).cast("timestamp"))
-                .withWatermark("_vl_evt", watermark)
-                .dropDuplicatesWithinWatermark([*keys, "_vl_evt"]))
+    src = spark.readStream.schema(schema).parquet(source_dir)
     w = (src.writeStream
             .foreachBatch(lambda df, bid: apply_batch(spark, df, bid, history_path, keys, ts, tracked))
             .option("checkpointLocation", checkpoint))
