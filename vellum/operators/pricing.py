@@ -5,10 +5,10 @@ All work is column expressions, joins and aggregates; no per-row Python.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions.text import model_id_normalise, per_million, provider_of
+from vellum.functions.text import model_id_normalise, per_million, provider_of, unescape_payload
 
 # Derived price tiers as multiples of the base prices
 # (cache write 5 min and 1 h, cache read, batch input of input; batch output
@@ -121,3 +121,50 @@ def reply_rejects(replies: DataFrame, content: str = "content") -> DataFrame:
 def normalised_ids(df: DataFrame, col: str) -> DataFrame:
     """H2 applied as a projection."""
     return df.withColumn("model_id", model_id_normalise(F.col(col)))
+
+
+#: The block that carries a page's payload, and where prices stand in it.
+PUSH_BLOCK = r'(?s)self\.__next_f\.push\(\[\d+,\s*"(.*?)"\]\)'
+LIST_PRICE = r'(?s)"api(?:_endpoint)?"\s*:\s*"([^"]+)".{0,500}?"price"\s*:\s*\[(.*?)\]'
+LIST_SIDE = r"%s.*?price_dollar.*?\$+([0-9.]+)"
+SCALED_PRICE = r'"name"\s*:\s*"(%s[^"]+)".*?"promptTextTokenPrice"\s*:\s*"\$n(\d+)".*?"completionTextTokenPrice"\s*:\s*"\$n(\d+)"'
+PLAIN_PRICE = r'"modelName"\s*:\s*"([^"]+)".*?"inputPrice"\s*:\s*([0-9.]+).*?"outputPrice"\s*:\s*([0-9.]+)'
+
+
+def page_payload(html) -> Column:
+    """The page's push blocks, joined and unescaped."""
+    return unescape_payload(F.array_join(F.regexp_extract_all(html, F.lit(PUSH_BLOCK), 1), ""))
+
+
+def _price_structs(payload: Column, shape: str, name_prefix: str) -> Column:
+    def groups(pattern, n):
+        return [F.regexp_extract_all(payload, F.lit(pattern), i + 1) for i in range(n)]
+
+    def struct(name, a, b):
+        return F.struct(name.alias("name"), a.try_cast("double").alias("input_per_mtok"), b.try_cast("double").alias("output_per_mtok"))
+
+    if shape == "list":
+        name, block = groups(LIST_PRICE, 2)
+        side = lambda b, s: F.nullif(F.regexp_extract(b, LIST_SIDE % s, 1), F.lit(""))
+        return F.zip_with(name, block, lambda n, b: struct(n, side(b, "Input"), side(b, "Output")))
+    name, low, high = groups(SCALED_PRICE % name_prefix if shape == "scaled" else PLAIN_PRICE, 3)
+    rows = F.zip_with(F.zip_with(name, low, lambda n, a: F.struct(n.alias("n"), a.alias("a"))), high, lambda s, b: struct(s["n"], s["a"], b))
+    if shape == "scaled":
+        return F.transform(rows, lambda r: F.struct(r["name"].alias("name"), (r["input_per_mtok"] / 10000).alias("input_per_mtok"),
+                                                    (r["output_per_mtok"] / 10000).alias("output_per_mtok")))
+    return F.transform(rows, lambda r: F.struct(F.replace(F.lower(r["name"]), F.lit(" "), F.lit("-")).alias("name"), r["input_per_mtok"], r["output_per_mtok"]))
+
+
+def payload_prices(pages: DataFrame, payload: str, provider: str, shape: str, keep=(), name_prefix: str = "") -> DataFrame:
+    """Prices in page payloads, a row per model.
+
+    ``shape``: ``list`` (entries with dollar texts), ``scaled`` (integers of a
+    ten-thousandth) or ``plain`` (numbers). Entries without both prices are
+    left out; the first of a name stays, but ``plain`` keeps all.
+    """
+    rows = pages.select(*keep, _price_structs(F.col(payload), shape, name_prefix).alias("_vl_rows"))
+    rows = rows.select(*keep, F.posexplode(F.filter("_vl_rows", lambda r: r["input_per_mtok"].isNotNull() & r["output_per_mtok"].isNotNull())).alias("_vl_pos", "r"),
+                       F.transform(F.filter("_vl_rows", lambda r: r["input_per_mtok"].isNotNull() & r["output_per_mtok"].isNotNull()), lambda r: r["name"]).alias("_vl_names"))
+    if shape != "plain":
+        rows = rows.filter(F.array_position("_vl_names", F.col("r.name")) == F.col("_vl_pos") + 1)
+    return rows.select(*keep, F.concat(F.lit(provider + "/"), F.col("r.name")).alias("model_id"), "r.input_per_mtok", "r.output_per_mtok")
