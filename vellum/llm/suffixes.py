@@ -26,6 +26,7 @@ a task. Buckets and blocks of documents are sized by the corpus' bytes.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,16 +109,36 @@ def sliding(x: np.ndarray, w: int, f) -> np.ndarray:
     return x
 
 
-def cover_sample(data: np.ndarray, ends: np.ndarray, length: int, seed: int) -> dict[str, np.ndarray]:
+def difference_cover(v: int) -> np.ndarray:
+    """Whether i is in the cover, for i < v: any two numbers have a shift below v that brings both into it, modulo v.
+
+    The smallest there is for v <= 31; beyond, about twice the root of v numbers.
+    """
+    if f"cover{v}" not in _BUILT:
+        root = int(np.ceil(np.sqrt(v)))
+        cover = tuple(range(root)) + tuple(range(root, v, root))
+        if v <= 31:
+            every = (c for k in range(v) if k * (k + 1) + 1 >= v for c in itertools.combinations(range(1, v), k))
+            cover = next((0, *c) for c in every if len({(a - b) % v for a in (0, *c) for b in (0, *c)}) == v)
+        _BUILT[f"cover{v}"] = np.isin(np.arange(v), cover)
+    return _BUILT[f"cover{v}"]
+
+
+def cover_sample(data: np.ndarray, ends: np.ndarray, length: int, seed: int, cover: str) -> dict[str, np.ndarray]:
     """The sample of documents that lie end to end in ``data``: place, seed name, name of the reach, and the reach."""
     w, n = length - seed + 1, len(data)
     empty = {c: np.zeros(0, np.int64) for c in ("doc", "at", "low", "high", "seed", "name")}
     if n < length:
         return empty
     h = Hashed(data)
+    starts = np.concatenate(([0], ends[:-1]))
+    if cover == "difference":
+        owner = np.repeat(np.arange(len(ends)), ends - starts)
+        place = np.arange(n) - starts[owner]
+        at = np.flatnonzero(difference_cover(w)[place % w] & (np.arange(n) + seed <= ends[owner]) & ((ends - starts)[owner] >= length))
+        return _reached(h, at, h.name(at, at + seed), starts, ends, length, w)
     place = np.arange(n - seed + 1)
     seeds = h.name(place, place + seed) | U(1)  # never 0
-    starts = np.concatenate(([0], ends[:-1]))
     least = sliding(seeds, w, np.minimum)  # by the start of a string of ``length`` bytes
     inside = np.zeros(n + 1, np.int8)  # strings must not cross into the next document
     long_ = ends - starts >= length
@@ -127,11 +148,13 @@ def cover_sample(data: np.ndarray, ends: np.ndarray, length: int, seed: int) ->
     pad = np.zeros(w - 1, U)
     most = sliding(np.concatenate((pad, least, pad)), w, np.maximum)  # of the strings over each place
     at = np.flatnonzero(most == seeds)
-    if not len(at):
-        return empty
+    return _reached(h, at, seeds[at], starts, ends, length, w) if len(at) else empty
+
+
+def _reached(h: Hashed, at: np.ndarray, seeds: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, w: int) -> dict[str, np.ndarray]:
     doc = np.searchsorted(ends, at, side="right")
     low, high = np.maximum(starts[doc], at - (w - 1)), np.minimum(ends[doc], at + length)
-    return {"doc": doc, "at": at - starts[doc], "low": low - starts[doc], "high": high - starts[doc], "seed": seeds[at],
+    return {"doc": doc, "at": at - starts[doc], "low": low - starts[doc], "high": high - starts[doc], "seed": seeds,
             "name": h.name(low, high, (at - low) * 128 + (high - at))}
 
 
@@ -169,12 +192,12 @@ def replies(did, u, low, high, open_, blocks: int, kind: int = KNOWN) -> pd.Data
     return blob_rows(kind, block_of(did, u, blocks), {"did": did, "u": u, "low": low, "high": high, "open": open_})
 
 
-def sample_rows(length: int, seed: int, buckets: int, blocks: int):
+def sample_rows(length: int, seed: int, cover: str, buckets: int, blocks: int):
     """Step 1 in the scan: the sample suffixes, combined, for their buckets; repeats within the task at once."""
 
     def flush(texts: list, dids: list, us: list) -> Iterator[pd.DataFrame]:
         data = np.frombuffer(b"".join(texts), np.uint8)
-        s = cover_sample(data, np.cumsum([len(t) for t in texts]), length, seed)
+        s = cover_sample(data, np.cumsum([len(t) for t in texts]), length, seed, cover)
         doc = s.pop("doc")
         did, u = np.array(dids, np.int64)[doc], np.array(us, np.int64)[doc]
         order, _, least = smallest((s["seed"], s["name"]), did)
@@ -301,7 +324,7 @@ def final_rows(_key, docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
 FINAL = "did long, u long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 50, seed: int = 20, share_bytes: int = 8_000_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 50, seed: int = 20, cover: str = "difference", share_bytes: int = 8_000_000) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept_sha256, spans)`` per row of ``docs``.
 
     ``spans``: start and end of each removed run, flattened. A null text is
@@ -309,6 +332,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     comes after all others; rows of one id never repeat each other, whatever
     their texts, and equal rows get the same result; other columns are
     ignored; an empty table gives no rows. ``share_bytes``: text per bucket.
+    ``cover``: ``difference`` or ``content``; the result is the same.
     """
     scratch = Scratch(docs.sparkSession, "suffixes")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -327,7 +351,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             yield pd.DataFrame({"key": block_of(did, u, blocks).astype(np.int64), "did": did, "u": u, "z": z})
 
     texts = once.mapInPandas(packed, "key long, did long, u long, z binary")
-    sent = once.mapInPandas(sample_rows(length, seed, buckets, blocks), BLOBS)
+    sent = once.mapInPandas(sample_rows(length, seed, cover, buckets, blocks), BLOBS)
     first = scratch.put(sent.groupBy("kind", "key").applyInPandas(suffix_bucket(blocks), BLOBS), "suffixes")
     strings = texts.groupBy("key").cogroup(first.groupBy("key")).applyInPandas(string_rows(length, buckets, blocks), BLOBS)
     second = scratch.put(strings.groupBy("kind", "key").applyInPandas(string_bucket(length, blocks), BLOBS), "strings")
