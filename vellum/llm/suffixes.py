@@ -45,8 +45,16 @@ SENT, KNOWN = 0, 1  # rows for a bucket; replies that are known already
 
 
 def squeeze(columns: dict[str, np.ndarray]) -> bytes:
-    """Integer columns as one blob: by planes of bytes, so that high zero bytes cost nothing."""
+    """Integer columns as one blob: by planes of bytes, so that high zero bytes cost nothing.
+
+    Seeds, which come sorted, are sent as steps, and ends as lengths.
+    """
     n = len(next(iter(columns.values())))
+    columns = dict(columns)
+    if "seed" in columns:
+        columns["seed"] = np.diff(columns["seed"], prepend=U(0))
+    if "high" in columns:
+        columns["high"] = columns["high"] - columns["low"]
     planes = [np.ascontiguousarray(c).view(np.uint8).reshape(n, 8).T.tobytes() for c in columns.values()]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
@@ -55,9 +63,14 @@ def expand(blobs, names: list[str]) -> dict[str, np.ndarray]:
     parts = []
     for blob in blobs:
         raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(blob)), np.uint8)
-        parts.append(raw.reshape(len(names), 8, -1).transpose(0, 2, 1))
-    whole = np.concatenate(parts, axis=1) if parts else np.zeros((len(names), 0, 8), np.uint8)
-    return {c: np.ascontiguousarray(whole[i]).view(np.uint64 if c in ("seed", "name") else np.int64).reshape(-1) for i, c in enumerate(names)}
+        part = raw.reshape(len(names), 8, -1).transpose(0, 2, 1).copy().view(np.uint64)[:, :, 0]
+        if "seed" in names:
+            part[names.index("seed")] = np.cumsum(part[names.index("seed")], dtype=np.uint64)
+        if "high" in names:
+            part[names.index("high")] += part[names.index("low")]
+        parts.append(part)
+    whole = np.concatenate(parts, axis=1) if parts else np.zeros((len(names), 0), np.uint64)
+    return {c: whole[i] if c in ("seed", "name") else whole[i].view(np.int64) for i, c in enumerate(names)}
 
 
 #: Tables that a worker builds once.
@@ -200,11 +213,14 @@ def sample_rows(length: int, seed: int, cover: str, buckets: int, blocks: int):
         s = cover_sample(data, np.cumsum([len(t) for t in texts]), length, seed, cover)
         doc = s.pop("doc")
         did, u = np.array(dids, np.int64)[doc], np.array(us, np.int64)[doc]
-        order, _, least = smallest((s["seed"], s["name"]), did)
+        # half of a seed's bits choose the bucket, the others travel: seeds that agree in both by chance only share open places
+        bucket = (s["seed"] >> U(32)) % U(buckets)
+        s["seed"] &= U(0xFFFFFFFF)
+        order, _, least = smallest((bucket, s["seed"], s["name"]), did)
         again = order[did[order] > least]
         yield replies(did[again], u[again], s["low"][again], s["high"][again], np.zeros(len(again), np.int64), blocks)
         keep = order[did[order] == least]
-        yield blob_rows(SENT, s["seed"][keep] % U(buckets), {"seed": s["seed"][keep], "name": s["name"][keep], "did": did[keep], "u": u[keep], "low": s["low"][keep], "high": s["high"][keep]})
+        yield blob_rows(SENT, bucket[keep], {"seed": s["seed"][keep], "name": s["name"][keep], "did": did[keep], "u": u[keep], "low": s["low"][keep], "high": s["high"][keep]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts, dids, us, size = [], [], [], 0
