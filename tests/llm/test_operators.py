@@ -444,8 +444,15 @@ def without_repeats(rows, length=50):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("repeated", [False, True])
-def test_repeated_strings(spark, repeated):
+def test_difference_cover():
+    for v in (1, 2, 7, 31, 50):
+        cover = np.flatnonzero(suffixes.difference_cover(v))
+        assert {(a - b) % v for a in cover for b in cover} == set(range(v))
+    assert suffixes.difference_cover(31).sum() == 6
+
+
+@pytest.mark.parametrize("repeated, cover", [(False, "difference"), (True, "difference"), (True, "content")])
+def test_repeated_strings(spark, repeated, cover):
     rng = random.Random(1)
     shared = ["".join(rng.choice("ab é") for _ in range(rng.randint(10, 130))) for _ in range(8)] + ["z" * 70, "yx" * 60]
     rows = []
@@ -455,6 +462,6 @@ def test_repeated_strings(spark, repeated):
     if repeated:
         rows += [(rng.choice([None, 3, 5]), rng.choice(rows)[1]) for _ in range(40)]
     df = spark.createDataFrame(rows, DOCS).withColumn("low", F.lit(0)).repartition(4)
-    got = suffixes.remove_repeats(df, share_bytes=5000).collect()
+    got = suffixes.remove_repeats(df, cover=cover, share_bytes=5000).collect()
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=repr) == without_repeats(rows)
     assert suffixes.remove_repeats(df.limit(0)).count() == 0

@@ -1,12 +1,11 @@
 """Removal of repeated byte strings by a blockwise sparse suffix sort.
 
 A byte goes if it is covered by a string of ``length`` bytes that also starts
-in a document with a smaller id. Sorting every suffix would shuffle many times
-the corpus, so only the suffixes of a cover sample are sorted. As with a
-difference cover, any two equal strings of ``length`` bytes hold a sample
-place at the same distance from their start; here the places are chosen by
-content (the least hash of ``length - seed + 1`` neighbouring seeds of ``seed``
-bytes), which takes a third of the places that an arithmetic cover takes.
+in a document with a smaller id. Only the suffixes at a difference cover's
+places are sorted: of any two equal strings of ``length`` bytes, some shift
+below ``length - seed + 1`` brings both to a place of the cover, with ``seed``
+bytes of the string still to come. (``cover="content"`` takes other places to
+the same end: the least hash of as many neighbouring seeds.)
 
 1. Suffix buckets: sample suffixes go to buckets by their first ``seed`` bytes
    and are sorted a bucket at a time. Long ties are not read on: each suffix
