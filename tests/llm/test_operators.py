@@ -366,6 +366,36 @@ def test_licenses(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+MIT_TEXT = """Copyright (c) 2021 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell"""
+BSD_TEXT = """/*
+ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:
+ *
+ * 1. Redistributions of source code must retain the above copyright
+ */"""
+GPL_TEXT = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+LGPL_TEXT = """dnl This library is free software; you can redistribute it and/or
+dnl modify it under the terms of the GNU Lesser General Public
+dnl License as published by the Free Software Foundation; either
+dnl version 2.1 of the License, or (at your option) any later version."""
+
+
+def test_licenses_in_wrapped_texts(spark):
+    texts = [MIT_TEXT, BSD_TEXT, GPL_TEXT, LGPL_TEXT, "river stone\n" * 30]
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    assert [got[i].spans for i in range(5)] == ["2-4:MIT", "1-3:BSD", "0-2:GPL", "0-2:LGPL", ""]
+    assert [(got[i].n_paragraphs, got[i].n_licensed) for i in range(5)] == [(2, 1), (2, 1), (1, 1), (1, 1), (1, 0)]
+
+
 # -- 7: URLs ------------------------------------------------------------------
 
 def plain_rule(host, path):

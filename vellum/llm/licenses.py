@@ -1,18 +1,19 @@
 """Licence scan: a trained paragraph classifier, confirmed by the templates.
 
-A document's lines are its paragraphs; long ones are cut into overlapping
-windows. A logistic regression over the words and word pairs of a paragraph
+A run of lines that aren't blank is a paragraph, however its text is wrapped.
+Its windows are the places that hold enough of a template's word pairs, at
+any offset. A logistic regression over the words and word pairs of a window
 gives each licence family, and ``unknown``, a probability. It is trained on
 the driver: positives are varied templates, negatives a bounded sample of the
 corpus's own paragraphs. A quarter is left out of training and calibrates the
-probabilities (a temperature) and the least probability that counts. A
-prediction stands if the paragraph also holds enough of one of the family's
-templates.
+probabilities (a temperature) and the least probability that counts. Every
+window whose template is of a family with at least that probability is a hit.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
+MARK = re.compile(r"^\s*(?:@?rem|dnl)(?:\s|$)", re.I)  # comment marks made of letters; the others hold no word
 UNKNOWN = "unknown"
 
 # The wordings by which texts name these licence families.
@@ -87,6 +89,7 @@ class Plan:
     window: int = 80
     least: float = 0.5
     contained: float = 0.6
+    stray: int = 8
     steps: int = 120
     seed: int = 5
 
@@ -114,6 +117,13 @@ class Classifier:
         self.plan = plan
         self.families = [UNKNOWN, *templates]
         self.templates = {f: [words(t) for t in ts] for f, ts in templates.items()}
+        self.needs: list[tuple[str, int, int]] = []  # of each template, its family, how many of its pairs are enough and how many it has
+        self.by_pair: dict[tuple[str, str], list[int]] = {}
+        for f, ts in self.templates.items():
+            for own in map(pairs, ts):
+                for pair in own:
+                    self.by_pair.setdefault(pair, []).append(len(self.needs))
+                self.needs.append((f, next(n for n in range(1, len(own) + 1) if n / len(own) >= plan.contained), len(own)))
         self.vocabulary: dict = {}
         self.weights = np.zeros((1, len(self.families)), np.float32)
         self.heat, self.least = 1.0, plan.least
@@ -135,8 +145,8 @@ class Classifier:
         rows = list(self.varied(rng))
         for text in negatives:
             tokens = words(text)
-            # not a negative if it holds a template: the sample is unlabelled
-            if tokens and all(contained(t, tokens) < 0.5 for ts in self.templates.values() for t in ts):
+            # not a negative if it holds a template, or is a piece of one: the sample is unlabelled
+            if tokens and all(contained(t, tokens) < 0.5 and (len(tokens) < 4 or contained(tokens, t) < 0.5) for ts in self.templates.values() for t in ts):
                 rows.append((0, tokens))
         known = set().union(*(terms(t) for ts in self.templates.values() for t in ts))
         often = Counter(x for y, t in rows if y == 0 for x in terms(t))
@@ -170,39 +180,99 @@ class Classifier:
         out[own] = 1 / np.sqrt(len(tokens))
         return out
 
-    def judge(self, tokens: list[str]) -> tuple[str, float] | None:
-        """Family and probability, if the prediction is sure enough and a template confirms it."""
+    def judge(self, tokens: list[str]) -> np.ndarray:
+        """The probability of each family."""
         get = self.vocabulary.get
-        own = [i for i in map(get, set(tokens)) if i]
-        if not own:
-            return None
-        own += [i for i in map(get, set(zip(tokens, tokens[1:], strict=False))) if i]
+        own = [i for i in map(get, terms(tokens)) if i]
         z = self.weights[0] + self.weights[own].sum(axis=0) / np.sqrt(len(tokens))
-        best = int(z.argmax())
-        if best == 0:
-            return None
-        p = float(softmax(z[None] / self.heat)[0, best])
-        family = self.families[best]
-        if p < self.least or max(contained(t, tokens) for t in self.templates[family]) < self.plan.contained:
-            return None
-        return family, p
-
-    def scan(self, text: str | None) -> tuple[int, list[tuple[int, str, float]]]:
-        """The paragraphs of a whole text, and those with a licence: line, family, probability."""
-        n, found = 0, []
-        for line, paragraph in enumerate((text or "").split("\n")):
-            tokens = words(paragraph)
-            if not tokens:
+        return softmax(z[None] / self.heat)[0]
+
+    def held(self, tokens: list[str]) -> Iterator[tuple[int, int, str, float, frozenset[int]]]:
+        """Where at most a window of words holds enough of a template's word pairs: first word, end, family, share of the pairs, their places."""
+        places: dict[int, list[tuple[int, tuple[str, str]]]] = {}
+        for i, pair in enumerate(zip(tokens, tokens[1:], strict=False)):
+            for t in self.by_pair.get(pair, ()):
+                places.setdefault(t, []).append((i, pair))
+        for t, own in places.items():
+            family, need, total = self.needs[t]
+            if len(own) < need:
+                continue
+            spans, count, lo = [], Counter(), 0
+            for hi, (end, pair) in enumerate(own):
+                count[pair] += 1
+                while end + 2 - own[lo][0] > self.plan.window or count[own[lo][1]] > 1:
+                    count[own[lo][1]] -= 1
+                    if not count[own[lo][1]]:
+                        del count[own[lo][1]]
+                    lo += 1
+                if len(count) >= need:
+                    spans.append((-len(count), lo, hi))
+            # the fullest first; then all that touch none taken before
+            taken: list[tuple[int, int]] = []
+            for _, lo, hi in sorted(spans, key=lambda x: (x[0], x[2] - x[1], x[1])):
+                at = bisect_left(taken, (lo, hi))
+                if (at and taken[at - 1][1] >= lo) or (at < len(taken) and taken[at][0] <= hi):
+                    continue
+                taken.insert(at, (lo, hi))
+                # a stray pair far from the others, without which they are enough, isn't part of it
+                while hi - lo >= need and own[lo + 1][0] - own[lo][0] > self.plan.stray:
+                    lo += 1
+                while hi - lo >= need and own[hi][0] - own[hi - 1][0] > self.plan.stray:
+                    hi -= 1
+                inner = own[lo:hi + 1]
+                yield own[lo][0], own[hi][0] + 2, family, len({pair for _, pair in inner}) / total, frozenset(i for i, _ in inner)
+
+    def hits(self, tokens: list[str]) -> list[tuple[int, int, str, float]]:
+        """Every licence of a paragraph: first word, end, family, probability; overlapping ones of a family are one.
+
+        A template's place stands if its own words, or the window around them,
+        give the template's family the least probability or more, unless most
+        of its pairs there are those of another family that holds more of its own.
+        """
+        sure = []
+        for start, end, family, share, places in sorted(self.held(tokens), key=lambda x: x[:4]):
+            k, room = self.families.index(family), (self.plan.window - (end - start)) // 2
+            p = max(float(self.judge(tokens[a:b])[k]) for a, b in ((start, end), (max(0, start - room), end + room)))
+            if p >= self.least:
+                sure.append((start, end, family, p, share, places))
+        found: dict[str, list[list]] = {}
+        for start, end, family, p, share, places in sure:
+            # spans are no longer than a window, so those that overlap this one start within a window of it
+            low, high = bisect_left(sure, start - self.plan.window, key=lambda x: x[0]), bisect_left(sure, end, key=lambda x: x[0])
+            if any(x[2] != family and 2 * len(places & x[5]) > len(places) and (x[4], len(x[5]), x[3]) > (share, len(places), p) for x in sure[low:high]):
                 continue
+            own = found.setdefault(family, [])
+            if own and start < own[-1][1]:
+                own[-1][1:] = [max(end, own[-1][1]), family, max(p, own[-1][3])]
+            else:
+                own.append([start, end, family, p])
+        return sorted(tuple(x) for own in found.values() for x in own)
+
+    def scan(self, text: str | None) -> tuple[int, int, list[tuple[int, int, str, float]]]:
+        """How many paragraphs a whole text has, how many with a licence, and each licence: first and last line, family, probability."""
+        n, licensed, found = 0, 0, []
+        for tokens, lines in paragraphs(text or ""):
             n += 1
-            step, best = self.plan.window // 2, None
-            for at in range(0, max(1, len(tokens) - step), step):
-                hit = self.judge(tokens[at:at + self.plan.window])
-                if hit and (best is None or hit[1] > best[1]):
-                    best = hit
-            if best:
-                found.append((line, *best))
-        return n, found
+            own = self.hits(tokens)
+            licensed += bool(own)
+            found += [(lines[start], lines[end - 1], family, p) for start, end, family, p in own]
+        return n, licensed, found
+
+
+def paragraphs(text: str) -> Iterator[tuple[list[str], list[int]]]:
+    """The words of each run of lines that aren't blank, and the line of each word; a line of marks alone is blank."""
+    tokens: list[str] = []
+    lines: list[int] = []
+    for i, line in enumerate(text.split("\n")):
+        own = words(MARK.sub("", line))
+        if own:
+            tokens += own
+            lines += [i] * len(own)
+        elif tokens:
+            yield tokens, lines
+            tokens, lines = [], []
+    if tokens:
+        yield tokens, lines
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -227,8 +297,9 @@ def scan_licenses(docs: DataFrame, model: Classifier | None = None, *, id_col: s
     """``(id, n_paragraphs, n_licensed, families, spans, best)`` per row of ``docs``.
 
     ``families``: those found, in order, joined by commas; ``spans``:
-    ``line:family`` of each licensed paragraph; ``best``: the largest
-    probability, 0 without any. Blank lines are no paragraphs; null and empty
+    ``line:family`` of each licence, ``first-last:family`` where it goes over
+    several lines; ``best``: the largest probability, 0 without any.
+    Paragraphs end at blank lines, which are in none; null and empty
     texts have none; repeated rows get the same result; null ids stay; other
     columns are ignored; an empty table gives no rows.
     """
@@ -239,8 +310,9 @@ def scan_licenses(docs: DataFrame, model: Classifier | None = None, *, id_col: s
         for texts in batches:
             rows = []
             for t in texts:
-                n, found = model.scan(t)
-                rows.append((n, len(found), ",".join(sorted({f for _, f, _ in found})), ",".join(f"{i}:{f}" for i, f, _ in found), round(max((p for *_, p in found), default=0.0), 6)))
+                n, licensed, found = model.scan(t)
+                spans = ",".join(f"{i}:{f}" if i == j else f"{i}-{j}:{f}" for i, j, f, _ in found)
+                rows.append((n, licensed, ",".join(sorted({f for *_, f, _ in found})), spans, round(max((p for *_, p in found), default=0.0), 6)))
             yield pd.DataFrame(rows, columns=["n_paragraphs", "n_licensed", "families", "spans", "best"])
 
     return docs.select(F.col(id_col), scanned(F.col(text_col)).alias("s")).select(id_col, "s.*")
