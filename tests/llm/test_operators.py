@@ -396,6 +396,14 @@ def test_licenses_in_wrapped_texts(spark):
     assert [(got[i].n_paragraphs, got[i].n_licensed) for i in range(5)] == [(2, 1), (2, 1), (1, 1), (1, 1), (1, 0)]
 
 
+def test_licenses_without_line_breaks(spark):
+    mit, gpl, cc = licenses.TEMPLATES["MIT"][2], licenses.TEMPLATES["GPL"][1], licenses.TEMPLATES["CC-BY-SA"][1]
+    one = " ".join([mit, "river stone " * 2000, gpl, "stone " * 500, cc])
+    got = licenses.scan_licenses(spark.createDataFrame([(0, one), (1, cc)], DOCS)).orderBy("doc_id").collect()
+    assert got[0].families == "CC-BY-SA,GPL,MIT" and got[0].spans == "0:MIT,0:GPL,0:CC-BY-SA"
+    assert (got[0].n_paragraphs, got[0].n_licensed) == (1, 1) and got[1].families == "CC-BY-SA"
+
+
 # -- 7: URLs ------------------------------------------------------------------
 
 def plain_rule(host, path):
