@@ -141,6 +141,43 @@ def test_line_dedup(spark):
     assert lines.dedup_lines(df.limit(0)).count() == 0
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, old = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("edits, few", [(0, 256), (2, 256), (2, 0), (3, 6)])
+def test_line_dedup_within_more_edits(spark, monkeypatch, edits, few):
+    monkeypatch.setattr(lines, "FEW", few)
+    rng = random.Random(edits)
+    base = ["the quick brown fox", "jumps over 12 lazy dogs", "short", "ünïcode líne of it", "a" * 18]
+
+    def line():
+        x = rng.choice(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5])):
+            i, c = rng.randrange(len(x) + 1), rng.choice("abé")
+            x = rng.choice([x[:i] + c + x[i:], x[:i] + x[i + 1:], x[:i] + c + x[i + 1:], x[:i] + x[i:i + 2][::-1] + x[i + 2:]])
+        return x
+
+    texts = ["\n".join(line() for _ in range(rng.randint(1, 4))) for _ in range(40)]
+    got = {r.doc_id: r for r in lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(3), min_chars=16, edits=edits).collect()}
+    earlier, near = [], 0
+    for i, t in enumerate(texts):
+        kept = []
+        for x in t.split("\n"):
+            n = lines.normal(x)
+            gone = bool(n) and (n in earlier or any(min(len(n), len(e)) >= 16 and edit_distance(n, e) <= edits for e in earlier))
+            near += gone and n not in earlier
+            kept += [] if gone else [x]
+            earlier += [n] if n else []
+        assert got[i].text == "\n".join(kept), i
+    assert sum(r.n_near for r in got.values()) == near and (near > 10) == (edits > 0)
+
+
 # -- 9: language --------------------------------------------------------------
 
 def test_language_id(spark):

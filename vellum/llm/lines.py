@@ -1,24 +1,34 @@
 """Line dedup within an edit bound, by a deletion-neighbourhood join.
 
 Lines are compared in normal form (runs of blanks as one space, trimmed, lower
-case). Two lines are near if one insertion, deletion or substitution of a
-character turns one into the other; lines under ``min_chars`` characters must
-be equal. A line goes if an earlier line, by document id and place, is equal
+case). Two lines are near if at most ``edits`` insertions, deletions and
+substitutions of a character turn one into the other; lines under
+``min_chars`` characters must be equal. A line goes if an earlier line, by document id and place, is equal
 or near; lines are judged on the input, not on what is left.
 
-Equal lines are one node, kept as two hashes. Two near lines agree in the
-first or the last half of the shorter one, so lines that share no half with
+Equal lines are one node, kept as two hashes.
+
+One edit: two near lines agree in the first or the last half of the shorter one, so lines that share no half with
 another line drop out before any variant is made. The others emit all variants
 with one character deleted as hashed keys. Lines with equal variants after
 deletions at one place differ by one substitution; a line equal to another's
 variant differs by one insertion: so the earliest line of each key decides,
 and is verified by edit distance, without pairs within a key.
+
+More edits: of ``edits + 1`` parts of the shorter line one is in the longer,
+moved by few places. Lines that share a part with few others are compared one
+by one. Where many share a part, they emit all variants with up to ``edits``
+characters outside of it deleted, with the gaps. Lines of equal variants are
+as far apart as their gaps say, so the earliest line of each set of gaps
+decides for all sets near enough, and no pairs are formed there either.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations, islice
 
 import numpy as np
 import pandas as pd
@@ -155,14 +165,148 @@ def node_id(line: str) -> int:
     return int(np.frombuffer(xxhash.xxh3_128_digest(line), np.int64)[0])
 
 
-def dropped_lines(docs: DataFrame, *, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """``(did, th, place, near)`` of the lines that go; ``near`` is false where an earlier line is equal."""
-    scratch = Scratch(docs.sparkSession, "lines")
-    texts = docs.select(id_key(F.col(id_col)).alias("did"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    rows = scratch.put(texts.mapInPandas(line_rows(min_chars), LINE), "rows")
+PART = "key long, nid long, short boolean, at int, size int, did long, th long, place int"
+#: Up to so many rows of a key are compared one by one: first by letters and length, then by edit distance.
+FEW = 256
+
+
+@lru_cache(4096)
+def part_places(m: int, edits: int, min_chars: int) -> list[tuple[int, int, int, bool]]:
+    """Start, end, seed, and whether as the shorter line, of each part of a line of m characters that a near line may share.
+
+    A shorter line has n characters and a part at ``low``; here that part is
+    moved by what the edits before it add, and those after it make up the rest.
+    """
+    out = []
+    for n in range(max(m - edits, min_chars), m + 1):
+        for j in range(edits + 1):
+            low, high = j * n // (edits + 1), (j + 1) * n // (edits + 1)
+            out += [(low + s, high + s, n * (edits + 1) + j, n == m and s == 0) for s in range(-edits, edits + 1)
+                    if abs(s) + abs(m - n - s) <= edits and low + s >= 0 and high + s <= m]
+    return out
+
+
+def part_rows(edits: int, min_chars: int):
+    """The keys of the parts of each line of ``min_chars`` characters, and where a batch has it first."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            seen: dict[str, tuple] = {}
+            for text, did, th in zip(batch["text"], batch["did"], batch["th"], strict=True):
+                for place, line in enumerate((text or "").split("\n")):
+                    line = normal(line)
+                    if len(line) >= max(min_chars, 1):
+                        own = (did, th, place)
+                        if line not in seen or own < seen[line]:
+                            seen[line] = own
+            todo = iter(seen.items())
+            while some := list(islice(todo, 4096)):
+                keys, parts, counts = [], [], []
+                for line, _ in some:
+                    own = part_places(len(line), edits, min_chars)
+                    keys += [digest(line[low:high], seed) for low, high, seed, _ in own]
+                    parts += own
+                    counts.append(len(own))
+                low, high, _, short = zip(*parts, strict=True)
+                out = pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "nid": np.repeat(np.array([node_id(x) for x, _ in some]), counts),
+                                    "short": np.array(short), "at": np.array(low, np.int32), "size": np.subtract(high, low, dtype=np.int32)})
+                for i, c in enumerate(("did", "th", "place")):
+                    out[c] = np.repeat(np.array([x[i] for _, x in some]), counts)
+                yield out
+    return run
+
+
+def letters(line: str) -> int:
+    """Of 64 classes of characters, those that the line has an odd number of: an edit changes two bits at most."""
+    out = 0
+    for c in line:
+        out ^= 1 << (ord(c) * 0x9E3779B1 >> 8 & 63)
+    return out - (1 << 64 if out >> 63 else 0)
+
+
+def named_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The lines at ``places``, their letters and length."""
+    for batch in batches:
+        out = []
+        for text, did, th, places in zip(batch["text"], batch["did"], batch["th"], batch["places"], strict=True):
+            lines = text.split("\n")
+            out += [(node_id(line), did, th, p, letters(line), len(line), line) for p in places for line in [normal(lines[p])]]
+        yield pd.DataFrame(out, columns=["nid", "did", "th", "place", "letters", "chars", "line"])
+
+
+def deletions(line: str, places: list[int], edits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the line without each set of at most ``edits`` of ``places``, and the gaps: where in what is left, -1 for none."""
+    x = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    x = (x + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    n, back = len(x), pow(int(BASE), -1, 2**64)
+    power = np.ones(n, np.uint64)
+    np.cumprod(np.full(n - 1, BASE), out=power[1:])
+    before = np.concatenate(([np.uint64(0)], np.cumsum(x * power, dtype=np.uint64)))
+    for d in range(edits + 1):
+        sets = combinations(places, d)
+        while block := list(islice(sets, 1 << 14)):
+            gone = np.array(block, np.int64).reshape(len(block), d)
+            edge = np.concatenate((gone, np.full((len(block), 1), n)), axis=1)
+            h = before[edge[:, 0]]
+            for t in range(1, d + 1):
+                h = h + np.uint64(pow(back, t, 2**64)) * (before[edge[:, t]] - before[edge[:, t - 1] + 1])
+            gaps = np.full((len(block), edits), -1, np.int32)
+            gaps[:, :d] = gone - np.arange(d)
+            yield _mix(h, n - d), gaps
+
+
+def gap_rows(edits: int):
+    """The variants of a line whose deleted characters are outside the shared part; ``key`` keeps groups apart."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for nid, key, line, low, size in zip(batch["nid"], batch["key"], batch["line"], batch["at"], batch["size"], strict=True):
+                outside = [*range(low), *range(low + size, len(line))]
+                for h, gaps in deletions(line, outside, edits):
+                    h = _mix(h ^ np.int64(key).view(np.uint64), 1)
+                    yield pd.DataFrame({"variant": h.view(np.int64), "nid": np.full(len(h), nid, np.int64)} | {f"g{i}": gaps[:, i] for i in range(edits)})
+    return run
+
+
+def near_within(texts: DataFrame, scratch: Scratch, edits: int, min_chars: int) -> DataFrame:
+    """``first`` of the lines that are at most ``edits`` edits from an earlier one, for any bound."""
+    order = F.struct("did", "th", "place")
+    parts = texts.mapInPandas(part_rows(edits, min_chars), PART)
+    shared = parts.groupBy("key").agg(F.min("nid").alias("low"), F.max("nid").alias("high"), F.max("short").alias("any")).filter("low <> high AND any").select("key")
+    member = parts.join(scratch.put(shared, "keys"), "key", "left_semi").groupBy("key", "nid", "short", "at", "size").agg(F.min(order).alias("own"))
+    member = scratch.put(member, "members")
+    many = scratch.put(member.groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > FEW).select("key"), "many")
+    chosen = member.groupBy("nid").agg(F.min("own").alias("own")).select("own.*").groupBy("did", "th").agg(F.collect_set("place").alias("places"))
+    once = texts.join(chosen, ["did", "th"]).dropDuplicates(["did", "th"])
+    lines = scratch.put(once.mapInPandas(named_lines, "nid long, did long, th long, place int, letters long, chars int, line string").select("nid", order.alias("own"), "letters", "chars", "line"), "lines")
+    own = lines.select("nid", "own")
+    few = member.join(many, "key", "left_anti").select("key", "nid", "short").distinct().join(lines.drop("line"), "nid")
+    a, b = (few.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("nid", "own", "short", "letters", "chars"))) for x in "ab")
+    pairs = a.join(b, "key").filter("own_a > own_b AND (short_a OR short_b)").filter(
+        (F.abs(F.col("chars_a") - F.col("chars_b")) <= edits) & (F.bit_count(F.col("letters_a").bitwiseXOR(F.col("letters_b"))) <= 2 * edits)).select(F.col("own_a").alias("own"), F.col("nid_a").alias("nid"), F.col("nid_b").alias("to"))
+    # where many share a part: sets of gaps in one variant
+    hot = member.join(many, "key", "left_semi").select("key", "nid", "at", "size").distinct().join(lines.select("nid", "line"), "nid")
+    gaps = [f"g{i}" for i in range(edits)]
+    variants = scratch.put(hot.mapInPandas(gap_rows(edits), ", ".join(["variant long", "nid long", *(f"{g} int" for g in gaps)])), "variants")
+    several = variants.groupBy("variant").agg(F.min("nid").alias("low"), F.max("nid").alias("high")).filter("low <> high").select("variant")
+    variants = scratch.put(variants.join(several, "variant", "left_semi").distinct().join(own, "nid"), "shared")
+    heads = variants.groupBy("variant", *gaps).agg(F.min(F.struct("own", "nid")).alias("head"))
+    mine, other = heads.select("variant", *gaps), heads.select("variant", F.filter(F.array(*gaps), lambda g: g >= 0).alias("there"), "head")
+    here = F.filter(F.array(*gaps), lambda g: g >= 0)
+    count = lambda xs, g: F.size(F.filter(xs, lambda x: x == g))
+    both = F.aggregate(F.array_distinct(here), F.lit(0), lambda n, g: n + F.least(count(here, g), count(F.col("there"), g)))
+    best = mine.join(other, "variant").filter(F.size(here) + F.size("there") - both <= edits).groupBy("variant", *gaps).agg(F.min("head").alias("head"))
+    reached = variants.join(best, ["variant", *gaps]).filter(F.col("head.own") < F.col("own")).select("own", "nid", F.col("head.nid").alias("to"))
+    pairs = pairs.unionByName(reached).distinct()
+    verified = pairs.join(lines.select("nid", "line"), "nid").join(lines.select(F.col("nid").alias("to"), F.col("line").alias("earlier")), "to")
+    return verified.filter(F.levenshtein("line", "earlier", edits).between(0, edits)).select(F.col("own").alias("first")).distinct()
+
+
+def near_by_one(texts: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``first`` of the lines that are one edit from an earlier one."""
     order = F.struct("did", "th", "place")
-    nodes = rows.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count("*").alias("n"), *(F.first(k).alias(k) for k in KEYS))
-    nodes = scratch.put(nodes, "nodes")
     half = nodes.select("first", F.posexplode(F.array(*KEYS)).alias("i", "half")).filter("half <> 0")
     shared = half.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
     chosen = half.join(shared, "half", "left_semi").select("first.*", (F.col("i") % 2).alias("side")).distinct()
@@ -182,14 +326,30 @@ def dropped_lines(docs: DataFrame, *, id_col: str, text_col: str, min_chars: int
     grow = keyed.join(ends, "variant").select("own", "nid", F.when(F.col("at") < 0, F.col("long")).otherwise(F.col("short")).alias("head"))
     pairs = swap.unionByName(grow).filter(F.col("head.own") < F.col("own")).select("own", "nid", F.col("head.nid").alias("to")).distinct()
     verified = pairs.join(lines.select("nid", "line"), "nid").join(lines.select(F.col("nid").alias("to"), F.col("line").alias("earlier")), "to")
-    verified = verified.filter(F.levenshtein("line", "earlier", 1).between(0, 1)).select(F.col("own").alias("first")).distinct()
+    return verified.filter(F.levenshtein("line", "earlier", 1).between(0, 1)).select(F.col("own").alias("first")).distinct()
+
+
+def dropped_lines(docs: DataFrame, *, id_col: str, text_col: str, min_chars: int, edits: int = 1) -> DataFrame:
+    """``(did, th, place, near)`` of the lines that go; ``near`` is false where an earlier line is equal."""
+    if edits < 0:
+        raise ValueError(f"edits is {edits}")
+    scratch = Scratch(docs.sparkSession, "lines")
+    texts = docs.select(id_key(F.col(id_col)).alias("did"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    rows = scratch.put(texts.mapInPandas(line_rows(min_chars), LINE), "rows")
+    order = F.struct("did", "th", "place")
+    nodes = rows.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count("*").alias("n"), *(F.first(k).alias(k) for k in KEYS))
+    nodes = scratch.put(nodes, "nodes")
+    if edits == 0:
+        verified = nodes.select("first").limit(0)
+    else:
+        verified = near_by_one(texts, nodes, scratch) if edits == 1 else near_within(texts, scratch, edits, min_chars)
     fate = nodes.join(verified.withColumn("near", F.lit(True)), "first", "left").filter("n > 1 or near").select(
         "h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     gone = rows.select("did", "th", "place", "h1", "h2").join(fate, ["h1", "h2"])
     return gone.filter((order > F.col("first")) | F.col("near")).select("did", "th", "place", (order == F.col("first")).alias("near")).distinct()
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 16) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 16, edits: int = 1) -> DataFrame:
     """Each row of ``docs``, whole, with its dropped lines out of the text, and ``n_lines, n_equal, n_near``.
 
     Blank lines are never compared and stay. A null text stays null, with no
@@ -198,7 +358,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     are one document and keep the same lines; columns that ``docs`` has under
     the names of the counts are replaced by them; an empty table gives no rows.
     """
-    gone = dropped_lines(docs, id_col=id_col, text_col=text_col, min_chars=min_chars).groupBy("did", "th").agg(
+    gone = dropped_lines(docs, id_col=id_col, text_col=text_col, min_chars=min_chars, edits=edits).groupBy("did", "th").agg(
         F.collect_set("place").alias("places"), F.count_if("near").alias("near"))
     own_did, own_th, own_gone, own_near = (fresh(docs, x) for x in ("did", "th", "gone", "near"))
     marked = docs.select("*", id_key(docs[id_col]).alias(own_did), F.xxhash64(docs[text_col]).alias(own_th))

@@ -84,6 +84,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"), min_chars=16)
 
 
+@query("op1_line_dedup_edits2")
+def op1_edits2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same within two edits, which LINE_SQL doesn't say."""
+    from vellum.llm.lines import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents"), min_chars=16, edits=2)
+
+
 @query("op2_decontaminate")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.decontaminate import find_leaks
