@@ -199,6 +199,16 @@ def test_language_id(spark):
     assert {r.lang_pred for r in none.collect()} == {"und"} and langid.identify(df.limit(0)).count() == 0
 
 
+def test_every_label_is_a_class(spark, monkeypatch):
+    rows = [(4 * i + j, f"words of label {i} and row {j} " * 3, f"l{i:03}") for i in range(230) for j in range(4)]
+    trained = []
+    monkeypatch.setattr(langid.Network, "train", lambda self, x, y: trained.append(y))
+    for plan in (langid.Plan(), langid.Plan(sample_docs=100)):
+        net = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), plan)
+        assert len(net.langs) == 230 and set(trained[-1]) == set(range(230))
+    assert len(trained[1]) < len(trained[0])
+
+
 def test_pooling_by_lookup_is_the_convolution():
     net = langid.Network(["a", "b"], langid.Plan(window=16))
     x = np.random.default_rng(0).integers(0, 256, (5, 16)).astype(np.uint8)

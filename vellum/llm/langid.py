@@ -26,15 +26,16 @@ LETTER = re.compile(r"[^\W\d_]")
 
 @dataclass(frozen=True)
 class Plan:
-    """Bounds and sizes. The sample has about ``docs_per_lang`` documents a language, by a hash of id and text, and
-    never more than twice as many in all; of each, ``windows_per_doc`` windows spread over the text."""
+    """Bounds and sizes. Every label is a class. The sample has about ``docs_per_lang`` documents a language, fewer if
+    that were more than ``sample_docs`` in all but at least one, by a hash of id and text, and never more than about
+    twice as many in all; of each, ``windows_per_doc`` windows spread over the text."""
 
     window: int = 256
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 16
     embed: int = 8
     docs_per_lang: int = 300
-    max_langs: int = 200
+    sample_docs: int = 60_000
     windows_per_doc: int = 4
     turns: int = 6
     batch: int = 64
@@ -144,13 +145,17 @@ def fit(docs: DataFrame, plan: Plan = Plan(), *, id_col: str = "doc_id", text_co
     """Train on labelled documents that aren't held out. No such document: a network without classes."""
     own = docs.filter(~is_held_out(id_col) & F.col(lang_col).isNotNull() & (F.length(F.trim(text_col)) > 0)).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
-    counts = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(plan.max_langs).collect()}
+    counts = {r["lang"]: (r["n"], r["least"]) for r in own.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()}
     langs = sorted(counts)
     net = Network(langs, plan)
     if not langs:
         return net
-    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, plan.docs_per_lang / n)))])
-    picked = own.filter(F.pmod("h", F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003).limit(2 * plan.docs_per_lang * len(langs))
+    each = max(1, min(plan.docs_per_lang, plan.sample_docs // len(langs)))
+    shares = docs.sparkSession.createDataFrame([(lang, min(1.0, each / n), least) for lang, (n, least) in sorted(counts.items())], "lang string, share double, least long")
+    drawn = own.join(F.broadcast(shares), "lang").filter((F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003) & (F.col("h") != F.col("least")))
+    # a label's least hash is always there, once: none is without a document
+    first = own.join(F.broadcast(shares), "lang").filter("h = least").dropDuplicates(["lang"])
+    picked = drawn.select("lang", "text", "h").limit(2 * each * len(langs)).unionByName(first.select("lang", "text", "h"))
     places = [F.substring("text", F.floor(F.length("text") * i / plan.windows_per_doc).cast("int") + 1, F.lit(plan.window)) for i in range(plan.windows_per_doc)]
     rows = picked.select("lang", "h", F.array(*places).alias("parts")).collect()
     rows.sort(key=lambda r: (r["lang"], r["h"]))
