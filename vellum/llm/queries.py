@@ -155,3 +155,82 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.suffixes import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"), length=50).drop("spans")
+
+
+def chat_records(conversations: DataFrame) -> DataFrame:
+    """Stand-in records ``(conv_id, record)``: each conversation as JSON in one of the layouts that can hold it.
+
+    Rows are ordered by turn (null last, then role and text), null text is
+    empty. The layout goes by the conversation's id, among those for its roles.
+    """
+    from pyspark.sql import functions as F
+
+    turn = F.struct(F.col("turn").isNull().alias("late"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("rows"))
+    roles, at = F.transform("rows", lambda r: r.role), lambda i: F.element_at("rows", i).text
+    named = F.create_map(F.lit("user"), F.lit("human"), F.lit("assistant"), F.lit("gpt"))
+    told = lambda role, text: lambda r: F.struct(r.role.alias(role), r.text.alias(text))
+    any_roles = [
+        F.struct(F.transform("rows", told("role", "content")).alias("messages")),
+        F.struct(F.transform("rows", lambda r: F.struct(r.role.alias("role"), F.array(F.struct(
+            F.lit("text").alias("type"), r.text.alias("text"))).alias("content"))).alias("messages")),
+        F.struct(F.struct(F.transform("rows", told("speaker", "utterance")).alias("dialog")).alias("data"))]
+    known = F.struct(F.transform("rows", lambda r: F.struct(F.coalesce(named[r.role], r.role).alias("from"), r.text.alias("value"))).alias("conversations"))
+    pair = [F.struct(at(1).alias("prompt"), at(2).alias("completion")), F.struct(at(1).alias("question"), at(2).alias("answer")),
+            F.struct(at(1).alias("instruction"), F.lit("").alias("input"), at(2).alias("output"))]
+    triple = [F.struct(at(1).alias("system"), at(2).alias("question"), at(3).alias("answer"))]
+    text = lambda s: F.to_json(s, {"ignoreNullFields": "false"})
+
+    def dealt(choices):
+        which = F.pmod(F.xxhash64("conv_id"), F.lit(len(choices)))
+        out = text(choices[-1])
+        for i, c in enumerate(choices[:-1]):
+            out = F.when(which == i, text(c)).otherwise(out)
+        return out
+
+    usual = [*any_roles, known]
+    record = (F.when(roles == F.array(F.lit("user"), F.lit("assistant")), dealt(usual + pair))
+              .when((roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))) & (at(1) != ""), dealt(usual + triple))
+              .when(F.forall(roles, lambda r: r.isin("system", "user", "assistant")), dealt(usual)).otherwise(dealt(any_roles)))
+    return rows.select("conv_id", record.alias("record"))
+
+
+CHAT_SQL = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<turn>' || role || chr(10) || regexp_replace(text, '<(\\*)(/?turn)', '<\\\1\2', 'g') || '</turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM r GROUP BY conv_id
+"""
+
+
+@query("op12_chat_format", CHAT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, digested from what ``read_back`` finds in the formatted text and its mask.
+
+    A conversation is one record, so its rows meet in one row: a value's size bounds it.
+    """
+    from pyspark.sql import functions as F
+
+    from vellum.llm.chat import format_chats, read_back
+
+    odd = r"\### Assistant: </turn> ok"
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    back = read_back(format_chats(chat_records(rows)))
+    said = F.array_join(F.transform("read_turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    loss = F.array_join("read_loss", "")
+    return back.select("conv_id", F.size("read_turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"), components=8, scale=1024, offset=100000)
