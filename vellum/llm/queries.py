@@ -234,3 +234,18 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.whitening import whiten
 
     return whiten(table(spark, sf_dir, "embeddings"), components=8, scale=1024, offset=100000)
+
+
+def both_tokenizers():
+    import public_tokenizers as files
+
+    from vellum.llm.align import Paths
+
+    return Paths(*(str(files.path(n)) for n in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")))
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.align import align
+
+    return align(table(spark, sf_dir, "documents"), both_tokenizers)[0]
