@@ -141,3 +141,33 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     d = null_safe_left(d, tot, [*keys, BUCKET])
     # like a window sum: null until the first value, then carried over nulls
     return d.withColumn(out, F.coalesce(F.col("_vl_in") + F.col("_vl_carry"), F.col("_vl_carry"), F.col("_vl_in"))).drop("_vl_in", "_vl_carry", BUCKET)
+
+
+def number_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], carried: Sequence[str], breaks, *,
+                band: Column, out: str = "run") -> DataFrame:
+    """Gaps and islands: add ``out``, the number (from 1) of the row's run within ``keys`` in ``order``.
+
+    ``breaks(before, here)`` tells whether a row begins a new run, from two
+    structs of the columns ``carried``. Rows are sorted by ``(keys, band)``,
+    where ``band`` must not fall as ``order`` rises, so a long key is sorted
+    by several tasks; a summary row per band carries runs over its edges. The
+    summary is built from the same exchanged rows.
+    """
+    keys, order, carried = list(keys), list(order), list(carried)
+    here = F.struct(*[F.col(c).alias(c) for c in carried])
+    d = df.withColumn(BUCKET, band)
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    d = d.withColumn("_vl_before", F.lag(here).over(w)).withColumn("_vl_here", here)
+    begins = F.when(F.col("_vl_before").isNull(), 0).otherwise(F.coalesce(breaks(F.col("_vl_before"), F.col("_vl_here")).cast("int"), F.lit(0)))
+    d = d.withColumn("_vl_begins", begins)
+    d = d.withColumn("_vl_in", F.sum("_vl_begins").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    bands = d.groupBy(*keys, BUCKET).agg(F.min_by("_vl_here", _order_struct(order)).alias("_vl_first"),
+                                         F.max_by("_vl_here", _order_struct(order)).alias("_vl_last"), F.sum("_vl_begins").alias("_vl_inner"))
+    wb = Window.partitionBy(*keys).orderBy(BUCKET)
+    before = F.lag("_vl_last").over(wb)
+    bands = bands.withColumn("_vl_before_band", before).withColumn("_vl_opens", F.when(F.col("_vl_before_band").isNull(), 1).otherwise(
+        F.coalesce(breaks(F.col("_vl_before_band"), F.col("_vl_first")).cast("int"), F.lit(0))))
+    base = F.sum(F.col("_vl_opens") + F.col("_vl_inner")).over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_vl_inner")
+    bands = bands.select(*keys, BUCKET, base.alias("_vl_base"))
+    return (null_safe_left(d, bands, [*keys, BUCKET]).withColumn(out, F.col("_vl_base") + F.col("_vl_in"))
+            .drop("_vl_before", "_vl_here", "_vl_begins", "_vl_in", "_vl_base", BUCKET))
