@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.text import fold_label, to_number
-from vellum.operators.sequence import number_runs
+from vellum.operators.sequence import null_safe_left, number_runs
 
 #: Height of a page's part that one task puts in order.
 BAND = 10_000.0
@@ -28,11 +28,12 @@ DATE = r"^\d{4}-\d{2}-\d{2}"
 def page_lines(boxes: DataFrame) -> DataFrame:
     """``doc_id, page_id, top, bottom, cells``: a row per line, its cells ``(x0, x1, text)`` from left to right.
 
-    Boxes without a place or size are left out; null texts are empty. Boxes
+    Boxes without a place, size, document or page are left out; null texts are
+    empty. Boxes
     share a line if ``round((y + h/2) / max(h, 1))`` is equal; a cell begins
     where the gap to the box before exceeds ``max(0.8 * its height, 3)``.
     """
-    placed = boxes.filter(F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("w").isNotNull() & F.col("h").isNotNull())
+    placed = boxes.dropna(subset=["x", "y", "w", "h", *PAGE])
     middle = F.round((F.col("y") + F.col("h") / 2) / F.greatest(F.col("h"), F.lit(1.0)))
     box = F.struct(F.col("x").cast("double").alias("x0"), (F.col("x") + F.col("w")).cast("double").alias("x1"), F.col("h").cast("double").alias("h"),
                    F.coalesce("text", F.lit("")).alias("text"))
@@ -279,4 +280,4 @@ def page_runs(signatures: DataFrame, min_similarity: float = 0.5, pages_per_band
     numbered = number_runs(signatures, ["doc_id"], ["page_id"], ["domains"], breaks, band=F.floor(F.col("page_id") / pages_per_band))
     sizes = numbered.groupBy("doc_id", "run").agg(F.min("page_id").alias("first_page"), F.max("page_id").alias("last_page"), F.count(F.lit(1)).alias("n_pages"))
     named = numbered.select("doc_id", "run", F.explode("domains").alias("d")).groupBy("doc_id", "run").agg(F.array_sort(F.collect_set("d")).alias("domains"))
-    return sizes.join(named, ["doc_id", "run"], "left").withColumn("domains", F.coalesce("domains", F.array().cast("array<string>")))
+    return null_safe_left(sizes, named, ["doc_id", "run"]).withColumn("domains", F.coalesce("domains", F.array().cast("array<string>")))
