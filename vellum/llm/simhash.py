@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
-from math import comb
 
 import numpy as np
 import pandas as pd
@@ -65,26 +64,33 @@ def fingerprint_udf(shingle: int, seed: int):
     return of
 
 
-def blocks_for(n: int, max_bits: int, bits: int = 64) -> int:
-    """How many blocks: the fewest that leave a fingerprint about two chance partners among ``n``."""
+def blocks_for(n: int, max_bits: int) -> int:
+    """How many blocks: the fewest that leave a fingerprint a quarter of a chance partner among ``n``, so that what meets is mostly close."""
     for m in range(max_bits + 1, 17):
-        if n * comb(m, max_bits) / 2.0 ** (bits // m * (m - max_bits)) <= 2:
+        if sum(n / 2 ** mask.bit_count() for mask in unsigned_masks(m, max_bits)) <= 0.25:
             return m
     return 16
 
 
-def block_masks(m: int, max_bits: int) -> list[int]:
-    """A mask for each choice of ``m - max_bits`` blocks, as signed longs."""
+def unsigned_masks(m: int, max_bits: int) -> list[int]:
+    """A mask for each choice of ``m - max_bits`` of ``m`` blocks; the blocks' widths differ by one bit at most."""
     cuts = [64 * i // m for i in range(m + 1)]
     parts = [((1 << (b - a)) - 1) << a for a, b in itertools.pairwise(cuts)]
-    sums = (sum(c) for c in itertools.combinations(parts, m - max_bits))
-    return [s - (1 << 64) if s >> 63 else s for s in sums]
+    return [sum(c) for c in itertools.combinations(parts, m - max_bits)]
+
+
+def block_masks(m: int, max_bits: int) -> list[int]:
+    """``unsigned_masks`` as signed longs."""
+    return [s - (1 << 64) if s >> 63 else s for s in unsigned_masks(m, max_bits)]
 
 
 def filed(fps: DataFrame, masks: list[int]) -> DataFrame:
-    """Each row of ``fps(fp, ...)`` under each of its keys ``(t, key)``."""
-    keys = [F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(masks)]
-    return fps.withColumn("k", F.explode(F.array(*keys))).select(F.col("k.t").alias("t"), F.col("k.key").alias("key"), *fps.columns)
+    """Each row of ``fps(fp, ...)`` under each of its keys: ``key`` is the hash of a mask's number and bits.
+
+    Two keys that are one by chance only file more rows together; distances are verified.
+    """
+    keys = [F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(m))) for t, m in enumerate(masks)]
+    return fps.select(F.explode(F.array(*keys)).alias("key"), *fps.columns)
 
 
 def close(a: Column | str, b: Column | str, max_bits: int) -> Column:
@@ -105,23 +111,23 @@ def link_roots(fps: DataFrame, max_bits: int, scratch: Scratch, pivot_turns: int
     for turn in range(pivot_turns + 1):
         members = filed(roots, masks)
         # blocks that still hold several components
-        open_ = members.groupBy("t", "key").agg(
+        open_ = members.groupBy("key").agg(
             F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"),
             F.max_by("fp", F.struct("n" if turn == 0 else F.lit(0), F.xxhash64(F.lit(turn), "fp"))).alias("pivot")).filter("lo <> hi")
         open_ = scratch.put(open_, f"open-{turn}")
         if turn:
-            by_root = members.join(open_.select("t", "key"), ["t", "key"], "left_semi").groupBy("t", "key", "root").agg(F.count("*").alias("c"))
-            left = by_root.groupBy("t", "key").agg(((F.sum("c") ** 2 - F.sum(F.col("c") ** 2)) / 2).alias("pairs")).agg(F.sum("pairs")).first()[0] or 0
+            by_root = members.join(open_.select("key"), "key", "left_semi").groupBy("key", "root").agg(F.count("*").alias("c"))
+            left = by_root.groupBy("key").agg(((F.sum("c") ** 2 - F.sum(F.col("c") ** 2)) / 2).alias("pairs")).agg(F.sum("pairs")).first()[0] or 0
             if turn == pivot_turns or left <= 2 * fps.count() * len(masks) ** 0.5:
                 break
-        star = members.join(open_, ["t", "key"]).filter((F.col("fp") != F.col("pivot")) & close("fp", "pivot", max_bits))
+        star = members.join(open_, "key").filter((F.col("fp") != F.col("pivot")) & close("fp", "pivot", max_bits))
         star = star.select(F.col("fp").alias("a"), F.col("pivot").alias("b")).distinct()
         links = star if links is None else links.unionByName(star)
         links = scratch.put(links, f"star-{turn}")
         roots = _rooted(fps, components(links, scratch, f"cc-{turn}"))
-    members = filed(roots, masks).join(open_.select("t", "key"), ["t", "key"], "left_semi")
-    a, b = (members.select("t", "key", F.col("fp").alias(x), F.col("root").alias(f"{x}_root")) for x in "ab")
-    rest = a.join(b, (a.t == b.t) & (a.key == b.key) & (a.a_root < b.b_root) & close(a.a, b.b, max_bits))
+    members = filed(roots, masks).join(open_.select("key"), "key", "left_semi")
+    a, b = (members.select("key", F.col("fp").alias(x), F.col("root").alias(f"{x}_root")) for x in "ab")
+    rest = a.join(b, (a.key == b.key) & (a.a_root < b.b_root) & close(a.a, b.b, max_bits))
     # only what joins components matters: one link between any two
     rest = scratch.put(rest.groupBy("a_root", "b_root").agg(F.min("a").alias("a")).select(F.col("a_root").alias("a"), F.col("b_root").alias("b")), "rest")
     roots = roots.withColumnRenamed("root", "old")
