@@ -550,3 +550,19 @@ def test_repeated_strings(spark, repeated, cover):
     got = suffixes.remove_repeats(df, cover=cover, share_bytes=5000).collect()
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=repr) == without_repeats(rows)
     assert suffixes.remove_repeats(df.limit(0)).count() == 0
+
+
+# -- letters, headers -----------------------------------------------------------
+
+def test_letters_are_letters():
+    assert [langid.has_letter(t) for t in ("½ ² ① Ⅷ", "", "12_3", "② b", "日", "ʰ", "é")] == [False, False, False, True, True, True, True]
+
+
+def test_records_have_the_mandatory_headers(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/", "x" * 200), (2, "http://b/", "x" * 200), (None, None, None)], "page_id long, url string, html string")
+    warc.write_archive(pages.withColumn("seen", F.timestamp_seconds(F.lit(86400))).withColumn("date", F.lit(1)), str(tmp_path / "a"), date_col="seen")
+    heads = [r.value.split("\r\n\r\n")[0].split("\r\n") for r in spark.read.option("lineSep", "WARC/1.1\r\n").text(str(tmp_path / "a")).collect() if r.value]
+    named = [dict(h.split(": ", 1) for h in head) for head in heads]
+    assert len(named) == 3
+    assert all({"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(h) and h["WARC-Date"] == "1970-01-02T00:00:00Z" for h in named)
+    assert [h["WARC-Profile"] for h in named if h["WARC-Type"] == "revisit"] == [warc.REVISIT_PROFILE]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER_LIKE = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -43,6 +43,12 @@ class Plan:
     seed: int = 7
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; numerals such as one half or a circled one are none."""
+    like = LETTER_LIKE.search(text)
+    return like is not None and (like.group().isalpha() or any(map(str.isalpha, text)))
+
+
 def windows(data: bytes, size: int) -> np.ndarray:
     """All of ``data`` as rows of ``size`` bytes, the last one filled with zeros."""
     n = max(1, -(-len(data) // size))
@@ -162,7 +168,7 @@ def fit(docs: DataFrame, plan: Plan = Plan(), *, id_col: str = "doc_id", text_co
     x, y = [], []
     for r in rows:
         for part in dict.fromkeys(r["parts"]):
-            if LETTER.search(part):
+            if has_letter(part):
                 x.append(windows(part.encode("utf-8", "replace")[: plan.window], plan.window)[0])
                 y.append(langs.index(r["lang"]))
     if x:
@@ -195,7 +201,7 @@ def classifier(net: Network):
 
             held = 0
             for i, t in enumerate(texts):
-                if t is None or not net.langs or not LETTER.search(t):
+                if t is None or not net.langs or not has_letter(t):
                     continue
                 data = t.encode("utf-8", "replace")
                 rows = windows(data, size)
@@ -214,9 +220,11 @@ def classifier(net: Network):
 def identify(docs: DataFrame, net: Network | None = None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``(id, held_out, lang_pred, score)`` per row.
 
-    Null, empty and letterless texts, and all texts if nothing is labelled,
-    are ``und`` with score 0. Repeated rows get the same result; null ids are
-    kept and never held out; other columns are ignored.
+    Null, empty and letterless texts (no character is a letter; a numeral or a
+    sign is none), and all texts if nothing is labelled, are ``und`` with
+    score 0. Every window of a very long text counts. Repeated rows get the
+    same result; null ids are kept and never held out; other columns are
+    ignored; an empty table gives no rows.
     """
     net = net or fit(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
     found = docs.select(F.col(id_col), is_held_out(id_col).alias("held_out"), classifier(net)(F.col(text_col)).alias("p"))
@@ -224,6 +232,10 @@ def identify(docs: DataFrame, net: Network | None = None, *, id_col: str = "doc_
 
 
 def keep_known(docs: DataFrame, min_score: float = 0.3, net: Network | None = None) -> DataFrame:
-    """Whole rows of documents whose language is recognised with at least ``min_score``."""
+    """Whole rows of documents whose language is recognised with at least ``min_score``.
+
+    Null, empty and letterless texts go; null ids, repeated rows and other
+    columns stay as they are; an empty table gives no rows.
+    """
     p = classifier(net or fit(docs))(docs["text"])
     return docs.filter((p["lang"] != UNKNOWN) & (p["score"] >= min_score))

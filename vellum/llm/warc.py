@@ -27,6 +27,9 @@ from vellum.llm.common import Scratch
 VERSION = "WARC/1.1"
 MAGIC = f"{VERSION}\r\n"
 EDGE = "\r\n\r\n"  # ends a header, and a record
+#: What a revisit of an equal payload says, and the date of a record without one.
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+NO_DATE = "1970-01-01T00:00:00Z"
 
 
 def classify(pages: DataFrame, scratch: Scratch, *, id_col: str, payload_col: str, min_revisit: int) -> DataFrame:
@@ -41,24 +44,29 @@ def classify(pages: DataFrame, scratch: Scratch, *, id_col: str, payload_col: st
     return scratch.put(again, "revisits")
 
 
-def write_archive(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_revisit: int = 100) -> None:
+def write_archive(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date_col: str | None = None, min_revisit: int = 100) -> None:
     """Write a record per row of ``pages`` to text files under ``path``.
 
-    A null payload is empty, a null url is ``about:blank``. Payloads of at
+    A null payload is empty, a null url is ``about:blank``; ``date_col`` is a
+    timestamp, and without one (or where it is null) the date is the epoch.
+    Other columns are ignored, whatever their names; an empty table gives an
+    archive without records; a payload is one value, however long. Payloads of at
     least ``min_revisit`` bytes that are equal share one response, that of the
     smallest id (each row of that id, if it is repeated); a null id is never
     the smallest, and is a revisit if some other row has an id.
     """
     scratch = Scratch(pages.sparkSession, "warc")
     payload = F.coalesce(F.col(payload_col), F.lit(""))
-    own = pages.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.regexp_replace(url_col, r"[\r\n]", " "), F.lit("about:blank")).alias("url"), payload.alias("payload"))
+    stamp = F.date_format(F.col(date_col).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'") if date_col else F.lit(None).cast("string")
+    own = pages.select(F.coalesce(stamp, F.lit(NO_DATE)).alias("date"), F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.regexp_replace(url_col, r"[\r\n]", " "), F.lit("about:blank")).alias("url"), payload.alias("payload"))
     again = classify(pages, scratch, id_col=id_col, payload_col=payload_col, min_revisit=min_revisit).withColumnRenamed("page_id", "again_id")
     digest = F.sha2(F.encode("payload", "utf-8"), 256)
     typed = own.withColumn("d", digest).join(again, F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("d") == F.col("digest")), "left")
     revisit = F.col("refers_to").isNotNull()
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     uri = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("none")), F.lit(">"))
-    fields = [("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))), ("WARC-Record-ID", uri(F.col("page_id"))), ("WARC-Target-URI", F.col("url")),
+    fields = [("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))), ("WARC-Record-ID", uri(F.col("page_id"))),
+              ("WARC-Date", F.col("date")), ("WARC-Target-URI", F.col("url")), ("WARC-Profile", F.when(revisit, F.lit(REVISIT_PROFILE))),
               ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("d"))), ("WARC-Payload-Length", F.octet_length("payload").cast("string")), ("WARC-Refers-To", F.when(revisit, uri(F.col("refers_to")))),
               ("Content-Length", F.octet_length(body).cast("string"))]
     head = F.concat_ws("\r\n", F.lit(VERSION), *(F.concat(F.lit(f"{k}: "), v) for k, v in fields))
