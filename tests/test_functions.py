@@ -70,6 +70,10 @@ def test_text_helpers(spark):
     assert one(spark, X.unescape_payload("x"), 'a\\\\"b\\"c\\nd\\/e') == 'a"b"c\nd/e'
     assert one(spark, X.fold_label("x"), "Réunion Ça") == "reunion ca"
     assert one(spark, X.fold_label("x"), "Hà Nội e\u0301 ΆΩ й") == "ha noi e αω и"
+    for raw, want in {"Straße STRASSE ẞ": "strasse strasse ss", "ﬁn Ⅷ": "fin viii", "ＡＢｃ１": "abc1", "ΟΔΟΣ οδός": "οδοσ οδοσ", "Ǆ ŉ": "dz ʼn", "I\u0307": "i", "": ""}.items():
+        assert one(spark, X.fold_label("x"), raw) == want, raw
+    assert one(spark, X.fold_label("x"), "कुल") != one(spark, X.fold_label("x"), "कल") and one(spark, X.fold_label("x"), None) is None
+    assert one(spark, X.per_million("x"), "no price") is None
     assert one(spark, X.to_number("x"), "$1,234.5") == 1234.5
     assert one(spark, X.name_key("x"), "__Customer_ID_") == "customer_id"
     assert one(spark, X.ref_tail("x"), "#/components/schemas/Currency") == "Currency"

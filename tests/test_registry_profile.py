@@ -92,3 +92,35 @@ def test_payload_prices_shapes(spark):
     pages = spark.createDataFrame([(1, html(plain, plain)), (2, html(half, listed, listed)), (3, None), (4, "")], "id int, html string").select("id", pricing.page_payload(F.col("html")).alias("p"))
     got = lambda shape: sorted(tuple(r) for r in pricing.payload_prices(pages, "p", "v", shape, keep=["id"]).collect())
     assert got("plain") == [(1, "v/a-b", 1.0, 2.0)] * 2 and got("list") == [(2, "v/m", 1.0, 2.0)] and got("scaled") == []
+
+
+def test_profile_keeps_large_keys_apart(spark):
+    from decimal import Decimal
+
+    rows = [(2**53, 1.0, Decimal("1.50")), (2**53 + 1, 2.0, Decimal("2.00")), (5, 2.5, None)]
+    df = spark.createDataFrame(rows, "k long, d double, m decimal(10,2)")
+    counts = profile.value_counts(df, ["k", "d", "m"]).unionByName(profile.value_counts(spark.createDataFrame([(2**53 + 1,), (5,), (5,)], "f long"), ["f"]))
+    got = {r.column: r for r in profile.profile(counts).collect()}
+    assert got["k"].n_distinct == 3 and got["k"].discreteness == 1.0 and got["d"].discreteness == 2 / 3 and got["m"].discreteness == 0.5
+    assert {r.column: (r.role, r.refers_to) for r in profile.key_triage(counts).collect()} == {
+        "k": ("key", None), "f": ("foreign key", "k"), "d": ("measure", None), "m": ("measure", None)}
+
+
+def test_constraint_forms(spark):
+    from vellum.operators import embeddings as E
+
+    df = spark.createDataFrame([("ab", 7), ("alpha", 8), ("beta", None), (None, 9)], "s string, n int")
+    fits = lambda rules: sorted((r.s or "") for r in df.filter(E.constraint_predicate(df, rules)).collect())
+    assert fits({"s": {"in": "ab"}}) == ["ab"] and fits({"n": {"in": 7}}) == ["ab"] and fits({"n": {"range": 8}}) == ["alpha"]
+    assert fits({"s": {"contains": ["alp", "bet"]}}) == ["alpha", "beta"] and fits({"s": {"contains": "et"}}) == ["beta"]
+    assert fits({"n": {"range": {"gt": 7, "lte": 9}}}) == ["", "alpha"] and len(fits({"x": {"in": 1}, "s": {"in": []}})) == 4
+    assert E.intent_constraints({"perils": "flood", "countries": ["FR"], "regions": [], "date_from": "2020", "date_to": "2021", "mood": 1}) == {
+        "peril": {"in": ["flood"]}, "country": {"in": ["FR"]}, "date": {"range": {"gte": "2020", "lte": "2021"}}}
+
+
+def test_repeated_styles(spark):
+    from vellum.operators import sieve
+
+    boxes = spark.createDataFrame([(1, 1, 1, 0.0, 0.0, 6.0, 10.0, "a")], "doc_id long, page_id int, style_id int, x double, y double, w double, h double, text string")
+    styles = spark.createDataFrame([(1, 1, "bold"), (1, 1, "thin"), (1, 1, "thin"), (1, None, "x")], "doc_id long, style_id int, weight string")
+    assert [r.boxes[0].weight for r in sieve.lines(boxes, styles).collect()] == ["thin"]

@@ -89,3 +89,11 @@ def test_dedupe_last(spark):
     got = {r.k: r.v for r in T.dedupe_last(df, ["k"], ["o"]).collect()}
     assert got == {1: "y", 2: "z"}
     assert T.dedupe_last(df, ["k"], ["o"]).filter(F.col("k") == 1).count() == 1
+
+
+def test_upsert_of_a_null_key_that_changes(spark):
+    hist = spark.createDataFrame([(None, "a"), (1, "x"), (2, "y")], "k int, v string").selectExpr("k", "v", "timestamp_ntz'2024-01-01' AS sys_from", "CAST(NULL AS timestamp_ntz) AS sys_to")
+    snap = spark.createDataFrame([(None, "b"), (1, "x"), (3, None)], "k int, v string")
+    new, actions = T.upsert(hist, snap, ["k"], ["v"], "2024-02-01 00:00:00")
+    assert sorted(((r.k, r.v, r.sys_to is None) for r in new.collect()), key=repr) == sorted([(None, "a", False), (None, "b", True), (1, "x", True), (2, "y", True), (3, None, True)], key=repr)
+    assert T.integrity(new, ["k"]).count() == 0 and {r.action: r.n for r in T.action_counts(actions).collect()} == {"changed": 1, "unchanged": 1, "new": 1}

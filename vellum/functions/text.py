@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -31,7 +32,7 @@ def provider_of(x) -> Column:
 
 def per_million(x) -> Column:
     """H4: per-token price text -> price per million tokens (DOUBLE)."""
-    return _c(x).cast("double") * F.lit(1_000_000.0)
+    return _c(x).try_cast("double") * F.lit(1_000_000.0)
 
 
 def to_number(x) -> Column:
@@ -70,25 +71,46 @@ def parse_iso_ts(x) -> Column:
                       F.try_to_timestamp(c))
 
 
-def _fold_table() -> tuple[str, str]:
-    """Every letter of the basic plane that is one letter and marks when decomposed, and that letter — by rule from
-    the Unicode database, so ``translate`` folds accents of all scripts without leaving the JVM."""
-    src, dst = [], []
-    for cp in range(0xC0, 0xFFFE):
+#: The blocks of combining marks that are accents; vowel signs and other marks that spell are in others.
+ACCENTS = r"[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]+"
+
+
+def _folded(ch: str) -> str:
+    """Compatibility form, case folded, without accents."""
+    low = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", ch).casefold())
+    return "".join(c for c in low if not re.match(ACCENTS, c))
+
+
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """By rule from the Unicode database: the letters and digits of the basic plane that fold to one character, those
+    characters, and the Latin, Greek and Armenian letters and Roman numerals that fold to several (``translate`` can't do these)."""
+    src, dst, several = [], [], {}
+    for cp in range(0x80, 0xFFFE):
         ch = chr(cp)
-        base = "".join(c for c in unicodedata.normalize("NFD", ch) if not unicodedata.combining(c))
-        if base != ch and len(base) == 1 and base.isalpha() and ch.lower() == ch:
+        if 0xAC00 <= cp <= 0xD7A3 or 0xD800 <= cp <= 0xDFFF or not ch.isalnum() or ch.lower() != ch:
+            continue
+        to = _folded(ch)
+        if len(to) == 1 and to != ch:
             src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
+            dst.append(to)
+        elif len(to) > 1 and unicodedata.name(ch, "").split(" ")[0] in ("LATIN", "GREEK", "ARMENIAN", "SMALL"):
+            several[ch] = to
+    return "".join(src), "".join(dst), several
 
 
-ACCENTED, PLAIN = _fold_table()
+FOLDED, PLAIN, SEVERAL = _fold_tables()
 
 
 def fold_label(x) -> Column:
-    """H19 (raw): lower case with marks folded away, of composed and of decomposed letters."""
-    return F.regexp_replace(F.translate(F.lower(_c(x)), ACCENTED, PLAIN), r"\p{Mn}+", "")
+    """Lower case, compatibility forms (full width, ligatures) and case folds (sharp s, final sigma) resolved, accents taken off.
+
+    Composed and decomposed letters fold alike; marks that spell, as vowel
+    signs do, stay. Outside the basic plane only case is folded.
+    """
+    low = F.translate(F.lower(_c(x)), FOLDED, PLAIN)
+    table = F.create_map(*[F.lit(v) for kv in SEVERAL.items() for v in kv])
+    spelled = F.array_join(F.transform(F.split(low, ""), lambda c: F.coalesce(table[c], c)), "")
+    return F.regexp_replace(F.when(low.rlike(f"[{''.join(SEVERAL)}]"), spelled).otherwise(low), ACCENTS, "")
 
 
 def _sql(x) -> str:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellum.operators.embeddings import column_constraint
+
 #: Declared type names; a name that isn't here is text.
 TYPES = {"String": T.StringType(), "Text": T.StringType(), "Integer": T.IntegerType(), "Float": T.DoubleType(),
          "REAL[]": T.ArrayType(T.FloatType())}
@@ -84,21 +86,14 @@ def union_collections(parts: Iterable[DataFrame]) -> DataFrame:
 def property_predicate(c: Collection, constraints: dict[str, dict]) -> Column:
     """B1 + B2 + B5: a predicate over ``properties``, by each column's declared type.
 
-    ``in``, ``range`` (gte, gt, lte, lt) and ``contains`` (no case); columns
-    that the collection does not declare are ignored.
+    Forms as in :func:`vellum.operators.embeddings.column_constraint`,
+    ``contains`` without case; columns that the collection does not declare
+    are ignored.
     """
     p = F.lit(True)
     for name, rule in constraints.items():
-        if name not in c.columns:
-            continue
-        v = F.col("properties")[name].try_cast(column_type(c.columns[name]))
-        if "in" in rule:
-            p = p & v.isin(*rule["in"])
-        for op, f in (("gte", Column.__ge__), ("gt", Column.__gt__), ("lte", Column.__le__), ("lt", Column.__lt__)):
-            if op in rule.get("range", {}):
-                p = p & f(v, rule["range"][op])
-        if "contains" in rule:
-            p = p & F.contains(F.lower(v.cast("string")), F.lit(rule["contains"].lower()))
+        if name in c.columns:
+            p = p & column_constraint(F.col("properties")[name].try_cast(column_type(c.columns[name])), rule, ignore_case=True)
     return p
 
 

@@ -23,32 +23,55 @@ from pyspark.sql import functions as F
 from vellum.operators.fingerprint import top_k
 
 
-def constraint_predicate(df: DataFrame, constraints: dict) -> Column:
-    """AND across fields, OR within a field's values."""
+def one_of(v) -> list:
+    return list(v) if isinstance(v, (list, tuple, set)) else [v]
+
+
+def column_constraint(c: Column, spec: dict, *, ignore_case: bool = False) -> Column:
+    """B1 / B2: one column's rule, all of whose parts must hold; null values never fit one.
+
+    ``in``: one of a list, or equal to a scalar; an empty list is no rule.
+    ``range``: ``gte``, ``gt``, ``lte``, ``lt`` (null bounds are none), or a
+    scalar for equality. ``contains``: a text that holds any of a list, or a
+    scalar.
+    """
     preds = []
-    for col, spec in constraints.items():
-        if col not in df.columns or not isinstance(spec, dict):
-            continue
-        c = F.col(col)
-        if "in" in spec:
-            v = spec["in"]
-            preds.append(c.isin(list(v)) if isinstance(v, (list, tuple)) else c == F.lit(v))
-        if "range" in spec:
-            r = spec["range"]
-            if isinstance(r, dict):
-                if r.get("gte") is not None:
-                    preds.append(c >= F.lit(r["gte"]))
-                if r.get("lte") is not None:
-                    preds.append(c <= F.lit(r["lte"]))
-            else:
-                preds.append(c == F.lit(r))
-        if "contains" in spec:
-            vals = spec["contains"] if isinstance(spec["contains"], (list, tuple)) else [spec["contains"]]
-            if vals:
-                preds.append(reduce(lambda a, b: a | b, [c.contains(v) for v in vals]))
+    if "in" in spec and (values := one_of(spec["in"])):
+        preds.append(c.isin(values))
+    if "range" in spec:
+        bounds = spec["range"] if isinstance(spec["range"], dict) else {"gte": spec["range"], "lte": spec["range"]}
+        ops = {"gte": Column.__ge__, "gt": Column.__gt__, "lte": Column.__le__, "lt": Column.__lt__}
+        preds += [op(c, F.lit(bounds[k])) for k, op in ops.items() if bounds.get(k) is not None]
+    if "contains" in spec and (values := one_of(spec["contains"])):
+        text = F.lower(c.cast("string")) if ignore_case else c.cast("string")
+        preds.append(reduce(lambda a, b: a | b, [F.contains(text, F.lit(str(v).lower() if ignore_case else str(v))) for v in values]))
     return reduce(lambda a, b: a & b, preds, F.lit(True))
 
 
+def constraint_predicate(df: DataFrame, constraints: dict) -> Column:
+    """AND across fields, OR within a field's values; columns that aren't there are ignored."""
+    return reduce(lambda a, b: a & b, [column_constraint(F.col(c), spec) for c, spec in constraints.items()
+                                       if c in df.columns and isinstance(spec, dict)], F.lit(True))
+
+
+#: What an intent names, and the column and form of constraint that it becomes.
+INTENT_FIELDS = {"perils": ("peril", "in"), "countries": ("country", "in"), "regions": ("path", "contains"), "date_from": ("date", "gte"), "date_to": ("date", "lte")}
+
+
+def intent_constraints(intent: dict, fields: dict[str, tuple[str, str]] = INTENT_FIELDS) -> dict:
+    """An intent's entries as constraints; empty and unknown ones constrain nothing."""
+    out: dict[str, dict] = {}
+    for name, (column, form) in fields.items():
+        value = intent.get(name)
+        if value is None or value == "" or value == []:
+            continue
+        if form in ("gte", "gt", "lte", "lt"):
+            out.setdefault(column, {}).setdefault("range", {})[form] = value
+        else:
+            out.setdefault(column, {})[form] = one_of(value)
+    return out
+
+
 def query(df: DataFrame, constraints: dict, key: str, vector: str = "embedding",
           limit: int | None = None) -> DataFrame:
     """B1 + B3: filtered rows without the vector column; limit only if set."""

@@ -28,9 +28,26 @@ def schema_columns(schemas: DataFrame, schema: str = "schema", keep: Iterable[st
                        get("$.description", "").alias("description"), F.substring_index(get("$['$ref']", ""), "/", -1).alias("ref_name"))
 
 
+WHOLE = r"^-?\d+$"
+
+
+def exact_text(c: Column, kind: str) -> Column:
+    """A number as text that tells any two apart: whole numbers by their digits, whatever their type."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return c.cast("string")
+    if kind.startswith("decimal"):
+        return F.regexp_replace(F.regexp_replace(c.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    d = c.cast("double")
+    return F.when((d == F.floor(d)) & (F.abs(d) < 1e18), F.floor(d).cast("string")).otherwise(d.cast("string"))
+
+
 def value_counts(df: DataFrame, columns: Iterable[str], prefix: str = "") -> DataFrame:
-    """``(column, value, n)``: numeric columns unpivoted, rows counted per distinct value; null values stay."""
-    wide = df.select(*[F.col(c).cast("double").alias(prefix + c) for c in columns])
+    """``(column, value, n)``: numeric columns unpivoted, rows counted per distinct value; null values stay.
+
+    ``value`` is the number as ``exact_text``, so large keys stay apart.
+    """
+    kinds = dict(df.dtypes)
+    wide = df.select(*[exact_text(F.col(c), kinds[c]).alias(prefix + c) for c in columns])
     return wide.unpivot([], wide.columns, "column", "value").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -39,20 +56,25 @@ def profile(counts: DataFrame) -> DataFrame:
 
     ``density``: distinct values over the integers between least and greatest.
     """
-    some = F.col("value").isNotNull()
+    some, whole = F.col("value").isNotNull(), F.col("value").rlike(WHOLE)
+    exact, rough = F.when(whole, F.col("value")).try_cast("decimal(38,0)"), F.col("value").try_cast("double")
     g = counts.groupBy("column").agg(
         F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(some, F.col("n"))), F.lit(0)).alias("n_values"), F.count("value").alias("n_distinct"),
-        F.sum(F.when(F.col("value") == F.floor("value"), F.col("n"))).alias("whole"), F.min("value").alias("least"), F.max("value").alias("greatest"))
+        F.sum(F.when(whole, F.col("n"))).alias("whole"), F.count(F.when(whole, 1)).alias("n_whole"),
+        (F.max(exact) - F.min(exact)).cast("double").alias("exact_range"), (F.max(rough) - F.min(rough)).alias("rough_range"))
     ratio = F.try_divide("n_distinct", "n_values")
+    spread = F.when(F.col("n_whole") == F.col("n_distinct"), F.col("exact_range")).otherwise(F.col("rough_range"))
     return g.select("column", "n_rows", "n_values", "n_distinct", ratio.alias("cardinality"), (1 - ratio).alias("repeatability"),
                     F.try_divide(F.coalesce("whole", F.lit(0)), "n_values").alias("discreteness"),
-                    F.try_divide(F.col("n_distinct"), F.col("greatest") - F.col("least") + 1).alias("density"))
+                    F.try_divide(F.col("n_distinct"), spread + 1).alias("density"))
 
 
 def key_triage(counts: DataFrame, contained: float = 0.95) -> DataFrame:
     """``(column, role, refers_to)``: key, foreign key (``contained`` of its values in a key) or measure.
 
-    Values meet in one equi-join on the value; a value has at most one row a column.
+    ``refers_to`` is the key that holds most of its values, of equals the
+    last by name. Values meet in one equi-join on the value; a value has at
+    most one row a column.
     """
     p = profile(counts)
     whole = F.col("discreteness") == 1

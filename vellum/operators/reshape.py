@@ -47,7 +47,7 @@ def _value(elem_json, m: Mapping):
         v = F.lit(m.const)
     else:
         v = F.get_json_object(elem_json, m.json_path)
-    return v.cast(m.cast) if m.cast else v
+    return v.try_cast(m.cast) if m.cast else v
 
 
 def reshape(responses: DataFrame, adapter: Adapter, keep: Iterable[str] = (),
@@ -76,7 +76,7 @@ def reshape(responses: DataFrame, adapter: Adapter, keep: Iterable[str] = (),
                 e = F.col("_vl_z")[f"c{idx[m.target_col]}"]
                 v = F.when(e.startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), e, F.lit("}")), "$.v")) \
                      .otherwise(e)
-            cols.append((v.cast(m.cast) if m.cast else v).alias(m.target_col))
+            cols.append((v.try_cast(m.cast) if m.cast else v).alias(m.target_col))
         out = rows.select(*keep, (F.col("_vl_pos") + 1).alias("row_num"), *cols)
     else:
         raise ValueError(f"unknown shape {adapter.shape!r}")

@@ -137,7 +137,7 @@ def upsert(history: DataFrame, snapshot: DataFrame, keys: Sequence[str],
     touched = j.filter(F.col("action") == "changed").select(*[F.col(f"b.{k}").alias(k) for k in keys])
     hist = history.select(*keys, *tracked, SYS_FROM, SYS_TO)
     untouched = hist.filter(F.col(SYS_TO).isNotNull()).unionByName(
-        current(hist).join(touched, on=keys, how="left_anti"))
+        current(hist).alias("a").join(touched.alias("b"), on=[F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], how="left_anti"))
     return untouched.unionByName(closed).unionByName(fresh), actions
 
 

@@ -30,6 +30,22 @@ def unified_import(t):
                               F.col("properties")["weight"].cast("double").alias("weight"), F.size("vector").cast("long").alias("dim"))
 
 
+FORMS = ({"grade": {"in": 3}}, {"grade": {"range": 7}}, {"grade": {"contains": ["1", "4"]}, "weight": {"range": {"gt": 1, "lte": 300}}}, {"weight": {"in": 2.5}}, {"grade": {"in": []}, "weight": {"range": {"lt": 20}}})
+
+
+@query("constraint_forms", oracle="""
+WITH e AS (SELECT CAST(vec_id AS VARCHAR) AS key, vec_id / 4 AS weight, CASE WHEN label % 5 <> 0 THEN label END AS grade FROM embeddings WHERE vec_id % 2 = 0)
+SELECT 0 AS form, key FROM e WHERE grade = 3 UNION ALL SELECT 1, key FROM e WHERE grade = 7
+UNION ALL SELECT 2, key FROM e WHERE (contains(grade::VARCHAR, '1') OR contains(grade::VARCHAR, '4')) AND weight > 1 AND weight <= 300
+UNION ALL SELECT 3, key FROM e WHERE weight = 2.5 UNION ALL SELECT 4, key FROM e WHERE weight < 20""")
+def constraint_forms(t):
+    """B2 + B5: scalar and list forms of every rule; an empty list is no rule."""
+    c = REGISTRY.get("even")
+    rows = imported(t).filter(F.col("collection") == c.name)
+    fits = F.array(*[F.when(C.property_predicate(c, f), F.lit(i)) for i, f in enumerate(FORMS)])
+    return rows.select(F.explode(F.array_compact(fits)).alias("form"), "key")
+
+
 @query("property_filter", oracle="""
 SELECT CAST(vec_id AS VARCHAR) AS key FROM embeddings
 WHERE vec_id % 2 = 0 AND label IN (1, 2, 3) AND vec_id / 4 >= 2.5 AND vec_id / 4 < 900""")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vellum.functions.text import fold_label
 from vellum.operators import domains as D
 from vellum.operators import fingerprint as FP
 from vellum.plans.registry import query
@@ -54,6 +55,15 @@ mem AS (
 """
 
 
+@query("label_fold", oracle=r"""
+SELECT DISTINCT w AS word, replace(strip_accents(lower(w)), 'ß', 'ss') AS label FROM (
+  SELECT unnest(regexp_split_to_array(text, '[^\p{L}\p{N}_]+')) AS w FROM documents) WHERE w <> ''""")
+def label_fold(t):
+    """H19 + M2: every word of the documents with the label that it folds to."""
+    words = t.documents.select(F.explode(F.split("text", WORD_SPLIT)).alias("word")).filter("word <> ''").distinct()
+    return words.select("word", fold_label("word").alias("label"))
+
+
 @query("domain_build", oracle=f"""WITH {_DOMAIN_ROWS_SQL}
 SELECT domain_name, count(*) AS label_rows, count(DISTINCT key) AS n_keys FROM mem GROUP BY domain_name""")
 def domain_build(t):

@@ -48,12 +48,21 @@ def column_profile(t):
     return P.profile(counts(t))
 
 
-@query("key_triage", oracle="""
-SELECT * FROM (VALUES ('o_orderkey', 'key'), ('c_custkey', 'key'), ('n_nationkey', 'key'), ('o_totalprice', 'measure'), ('c_acctbal', 'measure'),
-  ('o_custkey', 'foreign key'), ('c_nationkey', 'foreign key'), ('n_regionkey', 'foreign key')) AS v("column", role)""")
+_VALUES_SQL = " UNION ALL ".join("SELECT DISTINCT '{0}' AS col, CAST({0} AS DOUBLE) AS v FROM {1} WHERE {0} IS NOT NULL".format(*c.split("@")) for c in _COLUMNS.split())
+
+
+@query("key_triage", oracle=f"""WITH p AS ({_profile_sql(_COLUMNS)}),
+kind AS (SELECT "column" AS col, n_distinct, coalesce(discreteness = 1, false) AS whole, coalesce(discreteness = 1 AND n_distinct = n_rows, false) AS is_key FROM p),
+value AS ({_VALUES_SQL}),
+held AS (
+  SELECT a.col, b.col AS refers_to, count(*) AS c FROM value a JOIN kind k ON a.col = k.col AND k.whole AND NOT k.is_key
+  JOIN value b ON a.v = b.v JOIN kind kb ON b.col = kb.col AND kb.is_key GROUP BY ALL),
+best AS (SELECT h.col, refers_to, row_number() OVER (PARTITION BY h.col ORDER BY c DESC, refers_to DESC) AS r FROM held h JOIN kind k ON h.col = k.col WHERE c >= 0.95 * n_distinct)
+SELECT k.col AS "column", CASE WHEN is_key THEN 'key' WHEN refers_to IS NOT NULL THEN 'foreign key' ELSE 'measure' END AS role, refers_to
+FROM kind k LEFT JOIN best b ON k.col = b.col AND r = 1""")
 def key_triage(t):
-    """Keys, foreign keys and measures, from the profile and containment."""
-    return P.key_triage(counts(t)).select("column", "role")
+    """Keys, foreign keys with the key they refer to, and measures, from the profile and containment."""
+    return P.key_triage(counts(t))
 
 
 @query("unpivot_measures", oracle="""

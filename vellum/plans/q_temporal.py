@@ -155,6 +155,20 @@ def ttst_upsert(t):
     return hist
 
 
+_NULL_KEY = "CASE WHEN user_id % 10 <> 0 THEN user_id END"
+
+
+@query("ttst_null_keys", oracle=f"""WITH events0 AS (SELECT * REPLACE ({_NULL_KEY} AS user_id) FROM events), {_UPSERT_SQL
+    .replace("FROM events ", "FROM events0 ").replace("s.user_id = c.user_id", "s.user_id IS NOT DISTINCT FROM c.user_id").replace("c.user_id IS NULL THEN 'new'", "c.sys_from IS NULL THEN 'new'")
+    .replace("WHERE user_id NOT IN (SELECT user_id FROM acts WHERE action = 'changed')", "WHERE NOT EXISTS (SELECT 1 FROM acts a WHERE a.action = 'changed' AND a.user_id IS NOT DISTINCT FROM cur.user_id)")}
+SELECT * FROM new_hist""")
+def ttst_null_keys(t):
+    """The upsert where a tenth of the users share the null key, which is a key like any other."""
+    from types import SimpleNamespace
+
+    return _upsert(SimpleNamespace(events=t.events.withColumn("user_id", F.expr(_NULL_KEY))))[0]
+
+
 @query("ttst_upsert_actions", oracle=f"WITH {_UPSERT_SQL} SELECT action, count(*) AS n FROM acts GROUP BY action")
 def ttst_upsert_actions(t):
     """Inserted / changed / unchanged counters of the upsert."""
