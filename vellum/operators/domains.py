@@ -10,7 +10,7 @@ threshold; otherwise it stays a shuffle join — no unchecked broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,3 +98,98 @@ def new_only(suggested: DataFrame, known: DataFrame, col: str = "domain_name") -
     """Suggestions not already known (null-safe anti join)."""
     k = known.select(F.col(col).alias("_k")).filter(F.col("_k").isNotNull())
     return suggested.join(k, suggested[col] == k["_k"], "left_anti")
+
+
+def store_members(mem: DataFrame, path: str) -> None:
+    """Members in a folder a domain, so that a request reads its domains' folders only."""
+    mem.select("domain_name", "key", "label").write.mode("overwrite").partitionBy("domain_name").parquet(path)
+
+
+def requested_members(stored: DataFrame, requests: DataFrame) -> DataFrame:
+    """M9: the stored members of the requested domains (``requests.domain_name``; repeated and unknown names do no harm).
+
+    An inner join on the partition column with the distinct requests, so the
+    request prunes partitions while the query runs.
+    """
+    return stored.join(requests.select("domain_name").filter("domain_name IS NOT NULL").distinct(), "domain_name")
+
+
+def materialised(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
+    """A reference table for a session: a broadcast hint if it has at most ``most_rows`` rows as counted, else none."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
+def sketches(keyed: DataFrame, by: Sequence[str], key: str = "key", log_size: int = 14) -> DataFrame:
+    """M7, approximate: a theta sketch (``2 ** log_size`` hashes at most) of the distinct keys of each group.
+
+    Sketches merge, so parts may be sketched apart and kept. Sets of fewer
+    keys than that are held exactly.
+    """
+    return keyed.filter(F.col(key).isNotNull()).groupBy(*by).agg(F.theta_sketch_agg(F.col(key), log_size).alias("sketch"))
+
+
+def sampled_pairs(left: DataFrame, right: DataFrame, left_by: Sequence[str], right_by: Sequence[str], one_in: int = 16, whole: int = 4096) -> DataFrame:
+    """Pairs of groups that may share keys: those that share one of a sample of keys by hash; groups of up to ``whole`` keys are sampled whole."""
+
+    def sample(df: DataFrame, by: Sequence[str]) -> DataFrame:
+        keys = df.select(*by, "key").distinct()
+        small = keys.groupBy(*by).agg((F.count(F.lit(1)) <= whole).alias("_vl_small"))
+        return keys.join(small, list(by)).filter(F.col("_vl_small") | (F.pmod(F.xxhash64("key"), F.lit(one_in)) == 0)).drop("_vl_small")
+
+    return sample(left, left_by).join(sample(right, right_by), "key").select(*left_by, *right_by).distinct()
+
+
+def compare_sketches(left: DataFrame, right: DataFrame, pairs: DataFrame, left_by: Sequence[str], right_by: Sequence[str], log_size: int = 14) -> DataFrame:
+    """M7, approximate: per pair ``n_left, n_right, n_both, containment, jaccard``, all from the sketches, without the members."""
+    a = left.select(*left_by, F.col("sketch").alias("_vl_a"))
+    b = right.select(*right_by, F.col("sketch").alias("_vl_b"))
+    j = pairs.join(a, list(left_by)).join(b, list(right_by))
+    size = lambda c: F.theta_sketch_estimate(c)
+    j = j.select(*left_by, *right_by, size("_vl_a").alias("n_left"), size("_vl_b").alias("n_right"),
+                 size(F.theta_intersection("_vl_a", "_vl_b")).alias("n_both"), size(F.theta_union("_vl_a", "_vl_b", log_size)).alias("n_either"))
+    return j.select(*left_by, *right_by, "n_left", "n_right", "n_both", F.try_divide("n_both", "n_left").alias("containment"), F.try_divide("n_both", "n_either").alias("jaccard"))
+
+
+def discover(values: DataFrame, known: DataFrame, catalog: DataFrame, put: Callable[[DataFrame, str], DataFrame], *, covered: float = 0.9,
+             min_matches: int = 1, most_rounds: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Domains for the columns that the known ones don't cover, round by round.
+
+    ``values(column_name, key)``, ``known`` and ``catalog`` ``(domain_name,
+    key)``. A round suggests, for each column of which less than ``covered``
+    of the distinct keys are in a known domain, the domain of the catalog that
+    isn't known and holds most of its keys that no known domain holds (of
+    equals the first by name); suggestions become known, for all columns.
+    Rounds end when a round suggests nothing, or after ``most_rounds``. Each
+    round is written by ``put(frame, name)``, the log as well.
+
+    Gives the known members, and the log ``(round, column_name, n_keys,
+    n_covered, domain_name, n_matches, status)``: every round's columns that
+    weren't covered, with what was suggested (``accepted``) or nothing
+    (``no_match``, once a column, in the round that finds it).
+    """
+    values = put(values.select("column_name", "key").filter("key IS NOT NULL").distinct(), "values")
+    catalog = put(catalog.select("domain_name", "key").distinct(), "catalog")
+    known = put(known.select("domain_name", "key").distinct(), "known-0")
+    log, given_up = None, None
+    for n in range(1, most_rounds + 1):
+        held = values.join(known.select("key").distinct().withColumn("_vl_held", F.lit(True)), "key", "left")
+        state = held.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_keys"), F.count("_vl_held").alias("n_covered"))
+        open_ = state.filter(F.col("n_covered") < covered * F.col("n_keys"))
+        if given_up is not None:
+            open_ = open_.join(given_up, "column_name", "left_anti")
+        left = held.filter("_vl_held IS NULL").join(open_.select("column_name"), "column_name", "left_semi").select("column_name", "key")
+        fresh = catalog.join(known.select("domain_name").distinct(), "domain_name", "left_anti")
+        hits = left.join(fresh, "key").groupBy("column_name", "domain_name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_matches)
+        best = hits.groupBy("column_name").agg(F.min(F.struct((-F.col("n")).alias("n"), "domain_name")).alias("b"))
+        rows = open_.join(best, "column_name", "left").select(
+            F.lit(n).alias("round"), "column_name", "n_keys", "n_covered", F.col("b.domain_name").alias("domain_name"), F.coalesce(-F.col("b.n"), F.lit(0)).alias("n_matches"),
+            F.when(F.col("b").isNull(), "no_match").otherwise("accepted").alias("status"))
+        rows = put(rows, f"log-{n}")
+        log = rows if log is None else log.unionByName(rows)
+        accepted = rows.filter("status = 'accepted'").select("domain_name").distinct()
+        gone = rows.filter("status = 'no_match'").select("column_name")
+        given_up = gone if given_up is None else given_up.unionByName(gone)
+        if not accepted.take(1):
+            break
+        known = put(known.unionByName(catalog.join(accepted, "domain_name", "left_semi")), f"known-{n}")
+    return known, log
