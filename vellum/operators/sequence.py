@@ -7,6 +7,9 @@ sorted by a single task.  These helpers partition by ``(key, time bucket)``
 instead and repair the bucket boundaries from a per-``(key, bucket)``
 summary whose size is bounded by the number of buckets per key, not by the
 number of rows.  Results are exact: identical to the unbucketed window.
+
+Whole rows are exchanged once, by ``(key, bucket)``: windows, summary and the
+join of the two use that exchange; only summary rows are exchanged again.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_vl_bucket"
+KEY = "_vl_key"
 DEFAULT_BUCKET_SECONDS = 7 * 86400
 
 
@@ -37,6 +41,33 @@ def null_safe_left(d: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFra
     return d.join(marked, on=cond, how="left").drop(*[f"_vl_on_{c}" for c in on])
 
 
+def _exchanged(df: DataFrame, keys: Sequence[str], band: Column) -> DataFrame:
+    """``df`` with its key as a struct (in which nulls are equal) and its bucket, exchanged by both: the one exchange of whole rows."""
+    return df.withColumn(KEY, F.struct(*keys)).withColumn(BUCKET, band).repartition(KEY, BUCKET)
+
+
+def _per_bucket(d: DataFrame, columns: Sequence[str], *aggs: Column) -> DataFrame:
+    """A row per bucket. It reads all of ``columns``, so that its exchange is the one that the rows have gone through."""
+    out = d.groupBy(KEY, BUCKET).agg(*aggs, F.first(F.struct(*columns)).alias("_vl_any"))
+    return out.filter(F.col("_vl_any").isNotNull()).drop("_vl_any")
+
+
+def _values(names: Sequence[str]) -> Column:
+    return F.struct(*[F.col(n).alias(n) for n in names])
+
+
+def _in_order(order: Sequence[str]):
+    return Window.partitionBy(KEY, BUCKET).orderBy(*order)
+
+
+def _buckets():
+    return Window.partitionBy(KEY).orderBy(BUCKET)
+
+
+_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
+_BEFORE = (Window.unboundedPreceding, -1)
+
+
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                values: Sequence[str], *, prev: bool = True, nxt: bool = True,
                bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
@@ -48,41 +79,24 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     columns break ties so the order is total.
     """
     keys, order, values = list(keys), list(order), list(values)
-    d = df.withColumn(BUCKET, bucket_of(order[0], bucket_seconds))
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    payload = F.struct(*[F.col(v).alias(v) for v in values])
-    d = d.withColumn("_vl_payload", payload)
+    whole = _exchanged(df, keys, bucket_of(order[0], bucket_seconds))
+    w, at = _in_order(order), _order_struct(order)
+    d, edges = whole, []
     if prev:
-        d = d.withColumn("_vl_prev", F.lag("_vl_payload").over(w))
+        d = d.withColumn("_vl_prev", F.lag(_values(values)).over(w))
+        edges.append(F.max_by(_values(values), at).alias("_vl_last"))
     if nxt:
-        d = d.withColumn("_vl_next", F.lead("_vl_payload").over(w))
-
-    # Boundary repair: first/last row of every (key, bucket), then a window
-    # over buckets only (bounded rows per key).
-    ostruct = _order_struct(order)
-    summ = (df.withColumn(BUCKET, bucket_of(order[0], bucket_seconds))
-              .groupBy(*keys, BUCKET)
-              .agg(F.min_by(F.struct(*[F.col(v).alias(v) for v in values]), ostruct).alias("_vl_first"),
-                   F.max_by(F.struct(*[F.col(v).alias(v) for v in values]), ostruct).alias("_vl_last")))
-    wb = Window.partitionBy(*keys).orderBy(BUCKET)
-    cols = [*keys, BUCKET]
+        d = d.withColumn("_vl_next", F.lead(_values(values)).over(w))
+        edges.append(F.min_by(_values(values), at).alias("_vl_first"))
+    summ = _per_bucket(whole, df.columns, *edges)
     if prev:
-        summ = summ.withColumn("_vl_bprev", F.lag("_vl_last").over(wb))
-        cols.append("_vl_bprev")
+        summ = summ.withColumn("_vl_bprev", F.lag("_vl_last").over(_buckets())).drop("_vl_last")
     if nxt:
-        summ = summ.withColumn("_vl_bnext", F.lead("_vl_first").over(wb))
-        cols.append("_vl_bnext")
-    d = null_safe_left(d, summ.select(*cols), [*keys, BUCKET])
-
-    out = d
-    for v in values:
-        if prev:
-            out = out.withColumn(prefix_prev + v, F.when(F.col("_vl_prev").isNotNull(), F.col("_vl_prev")[v])
-                                 .otherwise(F.col("_vl_bprev")[v]))
-        if nxt:
-            out = out.withColumn(prefix_next + v, F.when(F.col("_vl_next").isNotNull(), F.col("_vl_next")[v])
-                                 .otherwise(F.col("_vl_bnext")[v]))
-    return out.drop("_vl_payload", "_vl_prev", "_vl_next", "_vl_bprev", "_vl_bnext", BUCKET)
+        summ = summ.withColumn("_vl_bnext", F.lead("_vl_first").over(_buckets())).drop("_vl_first")
+    d = d.join(summ, [KEY, BUCKET], "left")
+    sides = [(prefix_prev, "prev")] * prev + [(prefix_next, "next")] * nxt
+    told = {p + v: F.when(F.col(f"_vl_{s}").isNotNull(), F.col(f"_vl_{s}")[v]).otherwise(F.col(f"_vl_b{s}")[v]) for p, s in sides for v in values}
+    return d.select(*df.columns, *[c.alias(n) for n, c in told.items()])
 
 
 def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -90,33 +104,20 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                   out: str | None = None) -> DataFrame:
     """For every row, the ``value`` of the latest row at or before it (in
-    ``order`` within ``keys``) for which ``is_source`` holds.
+    ``order`` within ``keys``) for which ``is_source`` holds; null values are passed over.
 
     This is the as-of lookup used by :func:`vellum.operators.temporal.as_of_join`.
     """
     keys, order = list(keys), list(order)
     out = out or f"asof_{value}"
-    d = df.withColumn(BUCKET, bucket_of(order[0], bucket_seconds)) \
-          .withColumn("_vl_src", is_source)
-    w = (Window.partitionBy(*keys, BUCKET).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn("_vl_in", F.last(F.when(F.col("_vl_src"), F.col(value)), ignorenulls=True).over(w))
-
-    src = d.filter(F.col("_vl_src"))
-    summ = (src.groupBy(*keys, BUCKET)
-               .agg(F.max_by(F.col(value), _order_struct(order)).alias("_vl_last")))
-    wb = (Window.partitionBy(*keys).orderBy(BUCKET)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    # carry-in for every bucket that has rows: latest source value of an
-    # earlier bucket.  Buckets without a source row still need a carry-in,
-    # so the bucket list comes from all rows (one row per key-bucket).
-    kb = d.select(*keys, BUCKET).distinct()
-    summ = (null_safe_left(kb, summ, [*keys, BUCKET])
-              .withColumn("_vl_carry", F.last("_vl_last", ignorenulls=True).over(wb))
-              .select(*keys, BUCKET, "_vl_carry"))
-    d = null_safe_left(d, summ, [*keys, BUCKET])
-    return (d.withColumn(out, F.coalesce(F.col("_vl_in"), F.col("_vl_carry")))
-             .drop("_vl_in", "_vl_carry", "_vl_src", BUCKET))
+    whole = _exchanged(df, keys, bucket_of(order[0], bucket_seconds))
+    here = F.when(is_source, F.col(value))
+    d = whole.withColumn("_vl_in", F.last(here, ignorenulls=True).over(_in_order(order).rowsBetween(*_SO_FAR)))
+    last = F.max_by(_values([value]), F.when(here.isNotNull(), _order_struct(order)))
+    summ = _per_bucket(whole, df.columns, last.alias("_vl_last"))
+    summ = summ.withColumn("_vl_carry", F.last("_vl_last", ignorenulls=True).over(_buckets().rowsBetween(*_BEFORE))).drop("_vl_last")
+    d = d.join(summ, [KEY, BUCKET], "left")
+    return d.select(*df.columns, F.coalesce(F.col("_vl_in"), F.col("_vl_carry")[value]).alias(out))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, *,
@@ -130,17 +131,52 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     """
     keys, order = list(keys), list(order)
     out = out or f"running_{value}"
-    d = neighbours(df, keys, order, [value], nxt=False, bucket_seconds=bucket_seconds) if with_prev else df
-    d = d.withColumn(BUCKET, bucket_of(order[0], bucket_seconds))
-    w = (Window.partitionBy(*keys, BUCKET).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn("_vl_in", F.sum(value).over(w))
-    tot = d.groupBy(*keys, BUCKET).agg(F.sum(value).alias("_vl_bt"))
-    wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_vl_carry", F.sum("_vl_bt").over(wb)).drop("_vl_bt")
-    d = null_safe_left(d, tot, [*keys, BUCKET])
+    whole = _exchanged(df, keys, bucket_of(order[0], bucket_seconds))
+    w = _in_order(order)
+    d = whole.withColumn("_vl_in", F.sum(value).over(w.rowsBetween(*_SO_FAR))).withColumn("_vl_prev", F.lag(_values([value])).over(w))
+    summ = _per_bucket(whole, df.columns, F.sum(value).alias("_vl_bt"), F.max_by(_values([value]), _order_struct(order)).alias("_vl_last"))
+    summ = summ.select(KEY, BUCKET, F.sum("_vl_bt").over(_buckets().rowsBetween(*_BEFORE)).alias("_vl_carry"), F.lag("_vl_last").over(_buckets()).alias("_vl_bprev"))
+    d = d.join(summ, [KEY, BUCKET], "left")
     # like a window sum: null until the first value, then carried over nulls
-    return d.withColumn(out, F.coalesce(F.col("_vl_in") + F.col("_vl_carry"), F.col("_vl_carry"), F.col("_vl_in"))).drop("_vl_in", "_vl_carry", BUCKET)
+    total = F.coalesce(F.col("_vl_in") + F.col("_vl_carry"), F.col("_vl_carry"), F.col("_vl_in")).alias(out)
+    before = F.when(F.col("_vl_prev").isNotNull(), F.col("_vl_prev")[value]).otherwise(F.col("_vl_bprev")[value]).alias(f"prev_{value}")
+    return d.select(*df.columns, *([before] if with_prev else []), total)
+
+
+def versions(df: DataFrame, keys: Sequence[str], ts: str, tracked: Sequence[str], tiebreak: Sequence[str], *,
+             until: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """Rows at which a key's ``tracked`` values change (null-safe), with ``until``, the time of the key's next change.
+
+    Rows of one key and time are one first, the last by ``tiebreak`` (any,
+    without one). A bucket decides all but its first row by itself; that one,
+    and the end of its last version, come from the summary of the buckets.
+    """
+    keys, tracked = list(keys), list(tracked)
+    row = F.struct(*keys, *tracked)
+    whole = _exchanged(df.select(*keys, ts, *tracked, *[c for c in tiebreak if c not in keys and c not in tracked and c != ts]), keys, bucket_of(ts, bucket_seconds))
+    last = F.max_by(row, F.struct(*tiebreak)) if tiebreak else F.first(row)
+    once = whole.groupBy(KEY, BUCKET, ts).agg(last.alias("_vl_row"))  # in place: rows of a time share a bucket
+
+    def differ(a: Column, b: Column) -> Column:
+        out = F.lit(False)
+        for c in tracked:
+            out = out | ~a[c].eqNullSafe(b[c])
+        return out
+
+    w = _in_order([ts])
+    before = F.lag("_vl_row").over(w)
+    kept = once.withColumn("_vl_before", before).withColumn("_vl_first", F.col("_vl_before").isNull()).filter(
+        F.col("_vl_first") | differ(F.col("_vl_before"), F.col("_vl_row"))).drop("_vl_before")
+    kept = kept.withColumn("_vl_next", F.lead(ts).over(w))
+    summ = _per_bucket(kept, ["_vl_row", "_vl_next"], F.min_by("_vl_row", ts).alias("_vl_head"), F.min(ts).alias("_vl_head_ts"),
+                       F.max_by("_vl_row", ts).alias("_vl_tail"), F.min(F.when(~F.col("_vl_first"), F.col(ts))).alias("_vl_inner"))
+    tail = F.lag("_vl_tail").over(_buckets())
+    summ = summ.withColumn("_vl_tail_before", tail).withColumn("_vl_opens", F.col("_vl_tail_before").isNull() | differ(F.col("_vl_tail_before"), F.col("_vl_head")))
+    change = F.when(F.col("_vl_opens"), F.col("_vl_head_ts")).otherwise(F.col("_vl_inner"))
+    later = F.last(change, ignorenulls=True).over(Window.partitionBy(KEY).orderBy(F.desc(BUCKET)).rowsBetween(*_BEFORE))
+    summ = summ.select(KEY, BUCKET, "_vl_opens", later.alias("_vl_later"))
+    d = kept.join(summ, [KEY, BUCKET], "left").filter(~F.col("_vl_first") | F.col("_vl_opens"))
+    return d.select(*[F.col("_vl_row")[c].alias(c) for c in (*keys, *tracked)], ts, F.coalesce("_vl_next", "_vl_later").alias(until))
 
 
 def number_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], carried: Sequence[str], breaks, *,
@@ -150,24 +186,20 @@ def number_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], carrie
     ``breaks(before, here)`` tells whether a row begins a new run, from two
     structs of the columns ``carried``. Rows are sorted by ``(keys, band)``,
     where ``band`` must not fall as ``order`` rises, so a long key is sorted
-    by several tasks; a summary row per band carries runs over its edges. The
-    summary is built from the same exchanged rows.
+    by several tasks; a summary row per band carries runs over its edges.
     """
-    keys, order, carried = list(keys), list(order), list(carried)
-    here = F.struct(*[F.col(c).alias(c) for c in carried])
-    d = df.withColumn(BUCKET, band)
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    d = d.withColumn("_vl_before", F.lag(here).over(w)).withColumn("_vl_here", here)
+    keys, order = list(keys), list(order)
+    whole = _exchanged(df, keys, band)
+    w = _in_order(order)
+    here = _values(carried)
+    d = whole.withColumn("_vl_before", F.lag(here).over(w)).withColumn("_vl_here", here)
     begins = F.when(F.col("_vl_before").isNull(), 0).otherwise(F.coalesce(breaks(F.col("_vl_before"), F.col("_vl_here")).cast("int"), F.lit(0)))
     d = d.withColumn("_vl_begins", begins)
-    d = d.withColumn("_vl_in", F.sum("_vl_begins").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    bands = d.groupBy(*keys, BUCKET).agg(F.min_by("_vl_here", _order_struct(order)).alias("_vl_first"),
-                                         F.max_by("_vl_here", _order_struct(order)).alias("_vl_last"), F.sum("_vl_begins").alias("_vl_inner"))
-    wb = Window.partitionBy(*keys).orderBy(BUCKET)
-    before = F.lag("_vl_last").over(wb)
-    bands = bands.withColumn("_vl_before_band", before).withColumn("_vl_opens", F.when(F.col("_vl_before_band").isNull(), 1).otherwise(
+    d = d.withColumn("_vl_in", F.sum("_vl_begins").over(w.rowsBetween(*_SO_FAR)))
+    at = _order_struct(order)
+    bands = _per_bucket(d, df.columns, F.min_by("_vl_here", at).alias("_vl_first"), F.max_by("_vl_here", at).alias("_vl_last"), F.sum("_vl_begins").alias("_vl_inner"))
+    bands = bands.withColumn("_vl_before_band", F.lag("_vl_last").over(_buckets())).withColumn("_vl_opens", F.when(F.col("_vl_before_band").isNull(), 1).otherwise(
         F.coalesce(breaks(F.col("_vl_before_band"), F.col("_vl_first")).cast("int"), F.lit(0))))
-    base = F.sum(F.col("_vl_opens") + F.col("_vl_inner")).over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_vl_inner")
-    bands = bands.select(*keys, BUCKET, base.alias("_vl_base"))
-    return (null_safe_left(d, bands, [*keys, BUCKET]).withColumn(out, F.col("_vl_base") + F.col("_vl_in"))
-            .drop("_vl_before", "_vl_here", "_vl_begins", "_vl_in", "_vl_base", BUCKET))
+    base = F.sum(F.col("_vl_opens") + F.col("_vl_inner")).over(_buckets().rowsBetween(*_SO_FAR)) - F.col("_vl_inner")
+    d = d.join(bands.select(KEY, BUCKET, base.alias("_vl_base")), [KEY, BUCKET], "left")
+    return d.select(*df.columns, (F.col("_vl_base") + F.col("_vl_in")).alias(out))

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.operators.sequence import DEFAULT_BUCKET_SECONDS, carry_forward, neighbours
+from vellum.operators.sequence import DEFAULT_BUCKET_SECONDS, carry_forward, neighbours, versions
 
 SYS_FROM, SYS_TO = "sys_from", "sys_to"
 
@@ -55,24 +55,8 @@ def chain(observations: DataFrame, keys: Sequence[str], ts: str,
     values collapse into one version; ``sys_to`` is the next version's
     ``sys_from``.  Order-independent and idempotent.
     """
-    keys, tracked = list(keys), list(tracked)
-    extra = [c for c in tiebreak if c not in tracked and c not in keys]
-    obs = observations.select(*keys, F.col(ts).alias(SYS_FROM), *tracked, *extra)
-    if tiebreak:
-        obs = dedupe_last(obs, [*keys, SYS_FROM], tiebreak).select(*keys, SYS_FROM, *tracked)
-    else:
-        obs = obs.dropDuplicates([*keys, SYS_FROM])
-    # "_vl_one" is never NULL, so a NULL prev marks the first observation
-    # of a key even when all tracked values are NULL.
-    with_prev = neighbours(obs.withColumn("_vl_one", F.lit(1)), keys, [SYS_FROM],
-                           [*tracked, "_vl_one"], nxt=False, bucket_seconds=bucket_seconds)
-    changed = F.col("prev__vl_one").isNull()
-    for c in tracked:
-        changed = changed | ~F.col(f"prev_{c}").eqNullSafe(F.col(c))
-    versions = with_prev.filter(changed).select(*keys, SYS_FROM, *tracked)
-    nxt = neighbours(versions, keys, [SYS_FROM], [SYS_FROM], prev=False,
-                     bucket_seconds=bucket_seconds)
-    return nxt.select(*keys, *tracked, SYS_FROM, F.col(f"next_{SYS_FROM}").alias(SYS_TO))
+    obs = observations.select(*keys, F.col(ts).alias(SYS_FROM), *tracked, *[c for c in tiebreak if c not in tracked and c not in keys])
+    return versions(obs, keys, SYS_FROM, tracked, tiebreak, until=SYS_TO, bucket_seconds=bucket_seconds).select(*keys, *tracked, SYS_FROM, SYS_TO)
 
 
 def current(history: DataFrame) -> DataFrame:
