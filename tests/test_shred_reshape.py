@@ -79,3 +79,27 @@ def test_template_fill(spark):
     df = spark.createDataFrame([("x", None)], "a string, b string")
     got = df.select(R.template_fill("u/{{ a }}/{{b}}/{{ c }}!", {"a": F.col("a"), "b": F.col("b")}).alias("r")).first().r
     assert got == "u/x//!"
+
+
+def test_two_files_at_one_time_are_one_version(spark):
+    import datetime
+
+    day = lambda d: datetime.datetime(2024, 1, d)
+    rows = [("p", "a", day(1), "x/1"), ("p", "a", day(1), "x/2"), ("p", "a", day(3), "x/0"), ("p", "b", day(1), "y"), (None, None, day(2), "z"), (None, None, day(4), "z")]
+    got = S.version_chain(spark.createDataFrame(rows, "provider string, api_name string, commit_ts timestamp_ntz, file_path string"))
+    assert sorted(((r.provider, r.commit_ts, r.file_path, r.sys_to) for r in got.collect()), key=repr) == sorted(
+        [("p", day(1), "x/2", day(3)), ("p", day(3), "x/0", None), ("p", day(1), "y", None), (None, day(2), "z", day(4)), (None, day(4), "z", None)], key=repr)
+
+
+def test_many_parameters_first_of_a_name_and_place_wins(spark):
+    import json
+
+    params = [{"name": f"p{i % 300}", "in": "query" if i % 7 else None, "required": i < 300} for i in range(800)] + ["odd", {"in": "path"}, {}]
+    row = ("p", "a", "t", "/x", "get", json.dumps({"parameters": params[:5]}), json.dumps({"parameters": params}))
+    got = S.parameters(spark.createDataFrame([row], "provider string, api_name string, sys_from string, path string, method string, item string, op string")).collect()
+    seen, want = set(), []
+    for p in params[:5] + params:
+        if isinstance(p, dict) and (p.get("name"), p.get("in")) not in seen:
+            seen.add((p.get("name"), p.get("in")))
+            want.append((p.get("name") or "", p.get("in") or "query", p.get("required", False)))
+    assert [(r.name, r.location, r.required) for r in sorted(got, key=lambda r: r.ordinal)] == want

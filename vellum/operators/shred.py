@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.jsonx import ARR, OBJ, is_object
+from vellum.operators.sequence import neighbours
+from vellum.operators.temporal import dedupe_last
 
 HTTP_METHODS = ["get", "put", "post", "delete", "options", "head", "patch", "trace"]
 SPEC_KEY = ["provider", "api_name", "sys_from"]
@@ -81,10 +83,9 @@ def parameters(op_rows: DataFrame) -> DataFrame:
         F.filter(allp, lambda p: F.ltrim(p).startswith("{")),
         lambda p: F.struct(F.get_json_object(p, "$.name").alias("n"),
                            F.get_json_object(p, "$.in").alias("l"), p.alias("j")))
-    first_only = F.filter(
-        tagged,
-        lambda p, i: ~F.exists(F.slice(tagged, 1, i),
-                               lambda q: q["n"].eqNullSafe(p["n"]) & q["l"].eqNullSafe(p["l"])))
+    # made once, as a column; what a place's key is first found at comes from one list of keys
+    op_rows = op_rows.withColumn("_vl_tagged", tagged).withColumn("_vl_keys", F.transform("_vl_tagged", lambda p: F.struct(p["n"], p["l"])))
+    first_only = F.filter("_vl_tagged", lambda p, i: F.array_position("_vl_keys", F.struct(p["n"], p["l"])) == i + 1)
     r = op_rows.select(*SPEC_KEY, "path", "method", F.posexplode(first_only).alias("ordinal", "p"))
     j = F.col("p")["j"]
     return r.select(*SPEC_KEY, "path", "method", "ordinal",
@@ -119,6 +120,17 @@ def schemas(docs: DataFrame, doc: str = "doc") -> DataFrame:
                     F.get_json_object("schema_json", "$.description").alias("description"))
 
 
+def version_chain(events: DataFrame) -> DataFrame:
+    """Spec events ``(provider, api_name, commit_ts, file_path, ...)`` with ``sys_to``, the time of the next one.
+
+    Of several files of one spec at one time the last by its path counts, so
+    no version has zero length. Only events are exchanged, not documents.
+    """
+    key = ["provider", "api_name"]
+    last = dedupe_last(events, [*key, "commit_ts"], ["file_path"])
+    return neighbours(last, key, ["commit_ts"], ["commit_ts"], prev=False).withColumnRenamed("next_commit_ts", "sys_to")
+
+
 def path_identity(file_path) -> tuple:
     """A2: ``APIs/p/v/spec`` -> (p, p); ``APIs/p/s/v/spec`` -> (p, s); else NULLs."""
     parts = F.split(file_path, "/")

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from vellum.functions import jsonx as J
 from vellum.operators import reshape as R
 from vellum.operators import shred as S
-from vellum.operators.sequence import neighbours
 from vellum.plans.registry import query
 
 NL = "\n"
@@ -157,9 +156,8 @@ def bindings_rows(t):
 
 
 # -------------------------------------------------------------- spec shredding
-def spec_events(t):
-    """A1/A2/A3: spec change events derived from documents."""
-    d = t.documents
+def with_event(d):
+    """``d`` with the spec change event of its row: ``file_path, commit_ts, provider, api_name``; other paths are dropped."""
     fp = (F.when(F.col("lang") == "en", F.concat_ws("/", F.lit("APIs"), "source", F.col("doc_id").cast("string"),
                                                    F.lit("openapi.yaml")))
            .when(F.col("lang") == "de", F.concat_ws("/", F.lit("APIs"), "source", "lang", F.lit("x"),
@@ -168,15 +166,25 @@ def spec_events(t):
                                   F.lit("swagger.yaml"))))
     # wall-clock arithmetic on TIMESTAMP_NTZ: independent of the session time zone
     ts = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(doc_id AS INT), 0)")
-    ev = d.select("doc_id", fp.alias("file_path"), ts.alias("commit_ts"))
     provider, api = S.path_identity(F.col("file_path"))
-    return ev.select("doc_id", "file_path", "commit_ts", provider.alias("provider"), api.alias("api_name")) \
-             .filter(F.col("provider").isNotNull())
+    return d.withColumns({"file_path": fp, "commit_ts": ts}).withColumns({"provider": provider, "api_name": api}).filter(F.col("provider").isNotNull())
+
+
+EVENT = ("doc_id", "file_path", "commit_ts", "provider", "api_name")
+
+
+def spec_events(t):
+    """A1/A2/A3: spec change events derived from documents."""
+    return with_event(t.documents).select(*EVENT)
 
 
 def spec_docs(t):
     """Spec JSON per document: paths from lines, methods/params/responses by rule."""
-    d = t.documents
+    return spec_json(with_event(t.documents))
+
+
+def spec_json(d):
+    """``doc``, a specification, of each row of documents with their events."""
     lines = F.split("text", NL)
 
     def item(s, i):
@@ -223,16 +231,13 @@ def spec_docs(t):
             .otherwise(F.lit('{"Old":{"type":"object"}}'))
     doc = F.concat(F.lit("{"), head, F.lit(',"info":'), info, F.lit(',"paths":'), paths,
                    F.lit(',"components":'), comps, F.lit(',"definitions":'), defs, F.lit("}"))
-    ev = spec_events(t)
-    return (d.withColumn("_lang", F.col("lang")).select("doc_id", doc.alias("doc"))
-            .join(ev, "doc_id"))
+    return d.withColumn("_lang", F.col("lang")).select(*EVENT, *[c for c in ("sys_to",) if c in d.columns], doc.alias("doc"))
 
 
 def spec_versions(t):
-    """Version chain per (provider, api_name) by commit time."""
-    docs = spec_docs(t).withColumnRenamed("commit_ts", "sys_from")
-    n = neighbours(docs, ["provider", "api_name"], ["sys_from", "file_path"], ["sys_from"], prev=False)
-    return n.withColumnRenamed("next_sys_from", "sys_to")
+    """Version chain per (provider, api_name) by commit time, from events alone; texts are read for its versions only."""
+    chain = S.version_chain(spec_events(t)).select("doc_id", "sys_to")
+    return spec_json(with_event(t.documents.join(chain, "doc_id"))).withColumnRenamed("commit_ts", "sys_from")
 
 
 _SPEC_SQL = """
