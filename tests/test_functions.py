@@ -86,3 +86,13 @@ def test_zip_pads_uneven(spark):
     df = spark.createDataFrame([([1, 2, 3], ["a"])], "a array<int>, b array<string>")
     rows = df.select(F.inline(zip_arrays("a", "b"))).collect()
     assert [tuple(r) for r in rows] == [(1, "a"), (2, None), (3, None)]
+
+
+def test_prices_that_are_none(spark):
+    recs = [('[{"model_id": "m", "input_per_mtok": NaN, "output_per_mtok": 1}]', "no list of records"), ('[{"model_id": "m", "input_per_mtok": -2, "output_per_mtok": 1}]', "record without id or price"),
+            ('[{"model_id": "m", "input_per_mtok": "1.5", "output_per_mtok": 1}]', "record without id or price"), ('[{"model_id": "m", "input_per_mtok": 0, "output_per_mtok": 1e0}]', None),
+            ('{"data": [], "models": {"a": 1}, "pricing": [1]}', None), ("[[1]]", "record without id or price"), ('["x"], [1]', "no list of records")]
+    df = spark.createDataFrame([(i, r) for i, (r, _) in enumerate(recs)], "k int, content string")
+    got = {r.k: r.reason for r in P.reply_rejects(df).collect()}
+    assert [got.get(i) for i in range(len(recs))] == [w for _, w in recs]
+    assert [(r.k, r.input_per_mtok) for r in P.reply_records(df).collect()] == [(3, 0.0)]

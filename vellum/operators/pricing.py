@@ -76,7 +76,7 @@ PRICE_FIELDS = ("input_per_mtok", "output_per_mtok", "cache_write_5m_per_mtok",
 
 
 def _reply_items(replies: DataFrame, content: str) -> DataFrame:
-    """Each reply with ``_vl_items``, its records as JSON texts; null if it is not JSON or holds no list.
+    """Each reply with ``_vl_items``, its records as variants; null if it is not JSON or holds no list. It is parsed once.
 
     A code fence (with or without a ``json`` tag) is taken off and what comes
     before the first ``[`` or ``{`` skipped; the rest must be one JSON value
@@ -87,35 +87,43 @@ def _reply_items(replies: DataFrame, content: str) -> DataFrame:
     fenced = F.regexp_extract(c, r"(?s)```(?:json)?\s*(.*?)```", 1)
     body = F.regexp_replace(F.when(fenced != "", fenced).otherwise(c), r"(?s)\A[^\[{]*", "")
     # parsers stop at a value's end: as an array's only item it must fill the text
-    alone = F.concat(F.lit("["), body, F.lit("]"))
-    whole = F.when(F.try_parse_json(alone).isNotNull() & (F.size(F.from_json(alone, "array<string>")) == 1), body)
-    listed = [F.get_json_object(whole, f"$.{k}") for k in ("models", "data", "pricing")]
-    array = F.when(whole.startswith("["), whole).otherwise(F.coalesce(*[F.when(x.startswith("["), x) for x in listed]))
-    return replies.withColumn("_vl_items", F.from_json(array, "array<string>"))
+    d = replies.withColumn("_vl_whole", F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))))
+    list_at = lambda p: F.try_variant_get("_vl_whole", p, "array<variant>")
+    listed = F.coalesce(list_at("$[0]"), *[list_at(f"$[0].{k}") for k in ("models", "data", "pricing")])
+    return d.withColumn("_vl_items", F.when(F.try_variant_get("_vl_whole", "$[1]", "variant").isNull(), listed)).drop("_vl_whole")
+
+
+def _price(record: str, field: str) -> Column:
+    """A price that is a JSON number and not below zero; else null."""
+    at = f"$.{field}"
+    number = F.schema_of_variant(F.try_variant_get(record, at, "variant")).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    value = F.try_variant_get(record, at, "double")
+    return F.when(number & (value >= 0), value)
 
 
 def reply_records(replies: DataFrame, content: str = "content") -> DataFrame:
     """H11 + Q3 + Q5: one row per priced record, with its model id normalised and all seven prices.
 
     A record without a model id, an input or an output price is left to
-    :func:`reply_rejects`; a price that is no number counts as missing.
+    :func:`reply_rejects`; a price that is no number, or below zero, counts
+    as missing. The declared schema as a whole is checked by
+    :mod:`vellum.operators.validate`.
     """
     keep = [x for x in replies.columns if x != content]
     rows = _reply_items(replies, content).select(*keep, F.explode("_vl_items").alias("_r"))
-    rows = rows.select(*keep, model_id_normalise(F.get_json_object("_r", "$.model_id")).alias("model"),
-                       *[F.get_json_object("_r", f"$.{f}").try_cast("double").alias(f) for f in PRICE_FIELDS])
+    rows = rows.select(*keep, model_id_normalise(F.try_variant_get("_r", "$.model_id", "string")).alias("model"), *[_price("_r", f).alias(f) for f in PRICE_FIELDS])
     return rows.filter((F.col("model") != "") & F.col("input_per_mtok").isNotNull() & F.col("output_per_mtok").isNotNull())
 
 
 def reply_rejects(replies: DataFrame, content: str = "content") -> DataFrame:
     """Q4: what ``reply_records`` left out, with a reason: whole replies (``item`` null) and single records."""
     keep = [x for x in replies.columns if x != content]
-    d = _reply_items(replies, content).select(*keep, F.posexplode_outer(F.coalesce("_vl_items", F.array(F.lit(None).cast("string")))).alias("item", "_r"), F.col("_vl_items").isNull().alias("_bad"))
-    lacks = F.coalesce(F.get_json_object("_r", "$.model_id"), F.lit("")) == ""
+    d = _reply_items(replies, content).withColumn("_bad", F.col("_vl_items").isNull()).select(*keep, "_bad", F.posexplode_outer("_vl_items").alias("item", "_r"))
+    lacks = F.coalesce(F.try_variant_get("_r", "$.model_id", "string"), F.lit("")) == ""
     for f in PRICE_FIELDS[:2]:
-        lacks = lacks | F.get_json_object("_r", f"$.{f}").try_cast("double").isNull()
+        lacks = lacks | _price("_r", f).isNull()
     reason = F.when(F.col("_bad"), "no list of records").when(F.col("item").isNotNull() & lacks, "record without id or price")
-    return d.select(*keep, F.when(~F.col("_bad"), F.col("item")).alias("item"), reason.alias("reason")).filter("reason is not null")
+    return d.select(*keep, "item", reason.alias("reason")).filter("reason is not null")
 
 
 def normalised_ids(df: DataFrame, col: str) -> DataFrame:

@@ -35,7 +35,7 @@ def rules_of(rows: DataFrame) -> tuple[Rule, ...]:
     return tuple(Rule(**{k: tuple(v) if isinstance(v, list) else v for k, v in r.asDict().items()}) for r in rows.orderBy("field").collect())
 
 
-def violations(record, rules: Sequence[Rule], extra_keys: bool = False) -> Column:
+def violations(record: str, rules: Sequence[Rule], extra_keys: bool = False) -> Column:
     """An array of what is wrong with a JSON text, empty if nothing is: one entry a field, the first rule it breaks, then unknown keys.
 
     Text that isn't JSON, JSON that is no object, and null are
@@ -43,9 +43,9 @@ def violations(record, rules: Sequence[Rule], extra_keys: bool = False) -> Colum
     counts as there. A number in quotes is a string. Bounds hold for numbers,
     patterns (found anywhere) and enums for the value as text.
     """
-    record = F.col(record) if isinstance(record, str) else record
-    whole = F.try_parse_json(record)
-    keys = F.when(whole.isNotNull(), F.json_object_keys(record))
+    text = F.col(record)
+    whole = F.try_parse_json(text)
+    keys = F.when(whole.isNotNull(), F.json_object_keys(text))
     found = [field_violation(whole, r) for r in rules]
     if not extra_keys:
         unknown = F.array_sort(F.array_except(keys, F.array(*[F.lit(r.field) for r in rules]).cast("array<string>")))
@@ -89,7 +89,7 @@ def validate_replies(replies: DataFrame, rules: Sequence[Rule] = PRICE_RULES, co
     """Each record of each reply, with ``item`` (its place), ``record`` and ``violations``; a reply without a list is one row with a null item."""
     keep = [c for c in replies.columns if c != content]
     rows = _reply_items(replies, content).withColumn("_vl_bad", F.col("_vl_items").isNull()).select(
-        *keep, "_vl_bad", F.posexplode_outer("_vl_items").alias("item", "record"))
+        *keep, "_vl_bad", F.posexplode_outer("_vl_items").alias("item", "_vl_record")).withColumn("record", F.to_json("_vl_record"))
     own = F.when(F.col("_vl_bad"), F.array(F.lit("no list of records"))).when(F.col("item").isNull(), F.array().cast("array<string>")).otherwise(violations("record", rules, extra_keys))
     return rows.select(*keep, "item", "record", own.alias("violations"))
 
