@@ -83,14 +83,20 @@ def _reply_items(replies: DataFrame, content: str) -> DataFrame:
     without text after it: a list, or an object with a list under ``models``,
     ``data`` or ``pricing``, the first of them that is one.
     """
-    c = F.trim(F.col(content))
-    fenced = F.regexp_extract(c, r"(?s)```(?:json)?\s*(.*?)```", 1)
-    body = F.regexp_replace(F.when(fenced != "", fenced).otherwise(c), r"(?s)\A[^\[{]*", "")
+    bound = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)  # noqa: E731  evaluated once, however often ``f`` uses it
+
+    def body(c: Column) -> Column:
+        fenced = F.regexp_extract(c, r"(?s)```(?:json)?\s*(.*?)```", 1)
+        return F.regexp_replace(F.when(fenced != "", fenced).otherwise(c), r"(?s)\A[^\[{]*", "")
+
+    def items(whole: Column) -> Column:
+        list_at = lambda p: F.try_variant_get(whole, p, "array<variant>")
+        listed = F.coalesce(list_at("$[0]"), *[list_at(f"$[0].{k}") for k in ("models", "data", "pricing")])
+        return F.when(F.try_variant_get(whole, "$[1]", "variant").isNull(), listed)
+
     # parsers stop at a value's end: as an array's only item it must fill the text
-    d = replies.withColumn("_vl_whole", F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))))
-    list_at = lambda p: F.try_variant_get("_vl_whole", p, "array<variant>")
-    listed = F.coalesce(list_at("$[0]"), *[list_at(f"$[0].{k}") for k in ("models", "data", "pricing")])
-    return d.withColumn("_vl_items", F.when(F.try_variant_get("_vl_whole", "$[1]", "variant").isNull(), listed)).drop("_vl_whole")
+    text = bound(F.trim(F.col(content)), lambda c: F.concat(F.lit("["), body(c), F.lit("]")))
+    return replies.withColumn("_vl_items", bound(F.try_parse_json(text), items))
 
 
 def _price(record: str, field: str) -> Column:
