@@ -107,3 +107,22 @@ def test_constraints_and_knn(spark):
     assert top == [1, 2, 3]
     best = E.best_per(df, q, "coll", 1, "key").collect()
     assert sorted(r.key for r in best) == [1, 2, 3]
+
+
+def test_feed_touches_its_keys_files_only_and_compacts(spark, tmp_path, monkeypatch):
+    from vellum.operators.sinks import TableSet
+
+    schema, path, t = "k int, t timestamp_ntz, v string", str(tmp_path / "h"), dt.datetime(2024, 1, 1)
+    files = lambda name: {f["path"] for f in TableSet(spark, path).manifest()["tables"][name]["files"]}
+    rows = [(k, t + dt.timedelta(days=k % 3), f"v{k % 2}") for k in range(60)]
+    for i in range(3):  # keys of a batch lie apart from those of the others
+        H.apply_batch(spark, spark.createDataFrame(rows[20 * i:20 * i + 20], schema), i, path, ["k"], "t", ["v"])
+    before = files("history")
+    H.apply_batch(spark, spark.createDataFrame([(5, t + dt.timedelta(days=9), "w")], schema), 3, path, ["k"], "t", ["v"])
+    assert len(before & files("history")) == len(before) - 1
+    monkeypatch.setattr(H, "SMALL_FILES", 2)
+    H.apply_batch(spark, spark.createDataFrame([(6, t + dt.timedelta(days=9), "w")], schema), 4, path, ["k"], "t", ["v"])
+    assert len(files("observations")) == len(files("history")) == 1
+    got = sorted(map(tuple, H.latest_history(spark, path).collect()), key=repr)
+    want = T.chain(spark.createDataFrame([*rows, (5, t + dt.timedelta(days=9), "w"), (6, t + dt.timedelta(days=9), "w")], schema), ["k"], "t", ["v"], tiebreak=["v"])
+    assert got == sorted(map(tuple, want.collect()), key=repr)

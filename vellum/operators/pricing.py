@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.text import model_id_normalise, per_million, provider_of, unescape_payload
+from vellum.operators.temporal import as_of_join
 
 # Derived price tiers as multiples of the base prices
 # (cache write 5 min and 1 h, cache read, batch input of input; batch output
@@ -182,3 +183,36 @@ def payload_prices(pages: DataFrame, payload: str, provider: str, shape: str, ke
     if shape != "plain":
         rows = rows.filter(F.array_position("_vl_names", F.col("r.name")) == F.col("_vl_pos") + 1)
     return rows.select(*keep, F.concat(F.lit(provider + "/"), F.col("r.name")).alias("model_id"), "r.input_per_mtok", "r.output_per_mtok")
+
+
+#: What a call's mode does to the base prices: (input, output) multiples.
+MODES = {"standard": (1.0, 1.0), "cache_read": (0.1, 1.0), "cache_write_5m": (1.25, 1.0), "cache_write_1h": (2.0, 1.0), "batch": (0.5, 0.5)}
+
+
+def cost_at_call(calls: DataFrame, history: DataFrame, model: str, called_at: str, mode: str = "mode", modes: dict[str, tuple[float, float]] = MODES) -> DataFrame:
+    """Q6 + H6 + J13: each call with the prices that were in effect when it was made, and its cost.
+
+    ``calls`` has ``prompt_tokens`` and ``completion_tokens``; ``history`` has
+    ``model``, ``sys_from``, ``input_per_mtok`` and ``output_per_mtok``. A
+    null mode is ``standard``; a call of an unknown mode, or from before its
+    model's first price, has a null cost.
+    """
+    priced = as_of_join(calls, history, [model], called_at, "sys_from", ["input_per_mtok", "output_per_mtok"])
+    kind = F.coalesce(F.col(mode), F.lit("standard"))
+    times = [F.create_map(*[F.lit(x) for k, v in modes.items() for x in (k, v[i])])[kind] for i in (0, 1)]
+    cost = F.col("prompt_tokens") * F.col("input_per_mtok") * times[0] + F.col("completion_tokens") * F.col("output_per_mtok") * times[1]
+    return priced.withColumn("cost", cost / F.lit(1e6))
+
+
+def selected_providers(providers: DataFrame, only: list[str] | None = None) -> DataFrame:
+    """Current providers (no ``sys_to``) that have a pricing URL (``urls['pricing']``), of a list if one is given, with how to fetch: ``browser`` or ``reader``."""
+    url = F.col("urls")["pricing"]
+    out = providers.filter(F.col("sys_to").isNull() & (F.coalesce(url, F.lit("")) != ""))
+    out = out.filter(F.col("provider").isin(only)) if only else out
+    return out.withColumn("pricing_url", url).withColumn("fetch", F.when(F.coalesce("needs_browser", F.lit(False)), "browser").otherwise("reader"))
+
+
+def models_of(models: DataFrame, provider: Column | str, col: str = "model") -> DataFrame:
+    """The models under a provider's prefix, ``provider/``."""
+    provider = F.lit(provider) if isinstance(provider, str) else provider
+    return models.filter(F.startswith(F.col(col), F.concat(provider, F.lit("/"))))

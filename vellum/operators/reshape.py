@@ -126,3 +126,18 @@ def template_fill(template: str, values: dict) -> "F.Column":
             v = values.get(p)
             cols.append(F.coalesce(v.cast("string"), F.lit("")) if v is not None else F.lit(""))
     return F.concat(*cols) if cols else F.lit("")
+
+
+def prompts(params: DataFrame, adapters: DataFrame, on: str = "adapter", template: str = "template", defaults: str = "defaults", values: str = "params") -> DataFrame:
+    """Q1 + B13: a prompt per row of ``params``: its adapter's template, filled with the adapter's defaults under the row's own values.
+
+    ``{{ name }}`` (blanks are free) stands for a value; null values and names
+    that nobody gives are empty. Rows whose adapter isn't known are left out.
+    """
+    none = F.create_map().cast("map<string,string>")
+    j = params.join(adapters.select(on, template, defaults), on)
+    own = F.map_filter(F.coalesce(F.col(values), none), lambda _k, v: v.isNotNull())
+    base = F.map_filter(F.coalesce(F.col(defaults), none), lambda k, _v: ~F.map_contains_key(own, k))
+    parts = F.split(F.regexp_replace(F.col(template), r"\{\{\s*(\w+)\s*\}\}", "\u0001$1\u0002"), "[\u0001\u0002]")
+    filled = lambda m: F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 1, F.coalesce(m[p], F.lit(""))).otherwise(p)), "")
+    return j.withColumn("used", F.map_concat(base, own)).withColumn("prompt", filled(F.col("used"))).drop(template, defaults)

@@ -244,8 +244,21 @@ def subject_area(t):
     return td.select("doc_id", F.inline(FP.subject_areas(F.col("domains"))))
 
 
+@query("subject_area_ranked", oracle=f"""WITH {_WORDS_SQL},
+cl(cluster, members) AS ({_clusters_sql()}),
+placed AS (SELECT *, row_number() OVER () AS pos FROM cl),
+s AS (SELECT t.doc_id, p.cluster, p.pos, len(list_intersect(t.domains, p.members)) AS ov, len(p.members) AS nc, len(t.domains) AS nd FROM tdom t, placed p),
+c AS (SELECT doc_id, cluster, pos, round_even(0.5 * ov / nc + 0.5 * ov / nd, 3) AS score FROM s WHERE ov > 0)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS rank, cluster FROM c""")
+def subject_area_ranked(t):
+    """a document's clusters by score, of equal ones by declaration."""
+    td = table_domains(t).filter(F.size("domains") > 0)
+    return td.select("doc_id", F.posexplode(FP.subject_areas(F.col("domains"))).alias("pos", "c")).select("doc_id", (F.col("pos") + 1).alias("rank"), "c.cluster")
+
+
 @query("table_similarity", oracle=f"""WITH {_WORDS_SQL},
 n AS (SELECT doc_id, count(*) AS n FROM words GROUP BY ALL),
+wl AS (SELECT doc_id, list(name) AS l FROM words GROUP BY ALL),
 inter AS (SELECT a.doc_id AS target, b.doc_id AS candidate, count(*) AS inter
           FROM words a JOIN words b ON a.name = b.name AND a.doc_id <> b.doc_id GROUP BY ALL),
 j AS (SELECT i.target, i.candidate, i.inter, i.inter / (na.n + nb.n - i.inter) AS name_jaccard
@@ -261,8 +274,8 @@ r AS (SELECT *, 0.6 * name_jaccard + 0.4 * domain_jaccard AS combined,
              row_number() OVER (PARTITION BY target ORDER BY 0.6 * name_jaccard + 0.4 * domain_jaccard DESC,
                                 candidate) AS rank FROM g)
 SELECT target, candidate, inter AS matched_columns, round(name_jaccard, 6) AS name_jaccard,
-       round(domain_jaccard, 6) AS domain_jaccard, round(combined, 6) AS combined, rank
-FROM r WHERE rank <= 20""")
+       round(domain_jaccard, 6) AS domain_jaccard, round(combined, 6) AS combined, rank, array_to_string(list_sort(list_intersect(wa.l, wb.l)), ' ') AS matched_names
+FROM r JOIN wl wa ON wa.doc_id = target JOIN wl wb ON wb.doc_id = candidate WHERE rank <= 20""")
 def table_similarity(t):
     """L4 + L5 + L6 + F1: peers with name Jaccard >= 0.2, combined score
     0.6 name + 0.4 domain, top 20 per table."""
@@ -279,4 +292,4 @@ def table_similarity(t):
     return top.select(F.col("a").alias("target"), F.col("b").alias("candidate"),
                       F.col("inter").alias("matched_columns"), F.round("jaccard", 6).alias("name_jaccard"),
                       F.round("domain_jaccard", 6).alias("domain_jaccard"), F.round("combined", 6).alias("combined"),
-                      "rank")
+                      "rank", F.array_join("shared", " ").alias("matched_names"))

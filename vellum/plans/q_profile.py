@@ -67,11 +67,12 @@ def key_triage(t):
 
 @query("unpivot_measures", oracle="""
 SELECT o_custkey, CAST(y AS VARCHAR) AS year, 'sales' AS stem, sum(CASE WHEN year(o_orderdate) = y THEN o_totalprice END) AS amount
-FROM orders, (SELECT unnest([1995, 1996, 1997]) AS y) GROUP BY ALL""")
+FROM orders, (SELECT DISTINCT year(o_orderdate) AS y FROM orders WHERE o_orderdate IS NOT NULL) GROUP BY ALL""")
 def unpivot_measures(t):
-    """A wide table of yearly sums back to rows; year and stem come from the column names."""
+    """A wide table of yearly sums, of all years there are, back to rows; year and stem come from the column names."""
     y = F.year("o_orderdate")
-    wide = t.orders.groupBy("o_custkey").agg(*[F.sum(F.when(y == n, F.col("o_totalprice"))).alias(f"sales_{n}") for n in (1995, 1996, 1997)], F.count(F.lit(1)).alias("n_orders"))
+    years = sorted(r.y for r in t.orders.select(y.alias("y")).distinct().filter("y IS NOT NULL").collect())  # the wide table's columns
+    wide = t.orders.groupBy("o_custkey").agg(*[F.sum(F.when(y == n, F.col("o_totalprice"))).alias(f"sales_{n}") for n in years], F.count(F.lit(1)).alias("n_orders"))
     return P.unpivot_measures(wide, ["o_custkey"], r"^([a-z]+)_((?:19|20)\d\d)$", ["stem", "year"], "amount")
 
 

@@ -1,19 +1,19 @@
 """Observation feed -> transaction-time history, continuously.
 
 A Structured Streaming file source of observations is applied per micro-batch
-with ``foreachBatch``. Every observation is kept, in ``<path>/observations``,
-under the batch that brought it and a hash partition of its key; the history
-of the partitions that a batch touches is rebuilt from all their observations
-(T3), so an observation lands in the right place however late it comes, and
-the other partitions' history stays as it is.
-
-A batch writes folders of its own, ``v=<batch id>``; a retried batch rewrites
-the same folders from the same observations, so a lost executor or a restarted
+with ``foreachBatch``. Observations and history are two tables of one
+:class:`~vellum.operators.sinks.TableSet`: a batch adds its observations to
+new files, rebuilds the history of the keys that it holds from all their
+observations (T3), so an observation lands in the right place however late it
+comes, and replaces these keys' rows. Files are kept in key order, so a batch
+reads and rewrites only files whose range meets its keys. One manifest makes
+both tables visible and notes the batch, so a lost executor or a restarted
 query never applies a batch twice. Of two values of one key at one instant the
-larger one holds, in whatever order they come. Readers use
-:func:`latest_history`; a partition's folder goes once a later batch than the
-next has replaced it. Paths and the checkpoint folder must be on shared
-storage.
+larger one holds, in whatever order they come.
+
+Observations that say nothing new (their version begins earlier and goes on)
+stay, since a later one may split it; files are compacted as they grow in
+number. Paths and the checkpoint folder must be on shared storage.
 """
 
 from __future__ import annotations
@@ -24,64 +24,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.operators import temporal as T
+from vellum.operators.sinks import TableSet, compact, files_that_may_hold, replace_rows
 
-PART = "_vl_part"
-PARTS = 64  # hash partitions of the keys; fixed for the life of a history
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
-
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Batches whose folder is complete."""
-    fs, _ = _fs(spark, path)
-    return [v for v in _children(spark, path, "v=") if fs.exists(_fs(spark, f"{path}/v={v}/_SUCCESS")[1])]
-
-
-def _folders(spark: SparkSession, path: str) -> dict[int, list[int]]:
-    """By hash partition, the batches that rebuilt it, oldest first."""
-    out: dict[int, list[int]] = {}
-    for v in _versions(spark, path):
-        for part in _children(spark, f"{path}/v={v}", f"{PART}="):
-            out.setdefault(part, []).append(v)
-    return out
+SMALL_FILES = 64  # so many files are compacted, those of under a quarter of the rows that a file may have
 
 
 def latest_history(spark: SparkSession, history_path: str) -> DataFrame | None:
-    """Of every hash partition its newest history; None before the first batch."""
-    base = f"{history_path}/history"
-    newest = [f"{base}/v={vs[-1]}/{PART}={part}" for part, vs in sorted(_folders(spark, base).items())]
-    return spark.read.parquet(*newest) if newest else None
+    """The history as the newest batch left it; None before the first batch."""
+    tables = TableSet(spark, history_path)
+    return tables.read("history") if "history" in tables.manifest()["tables"] else None
 
 
 def apply_batch(spark: SparkSession, batch: DataFrame, batch_id: int, history_path: str,
                 keys: Sequence[str], ts: str, tracked: Sequence[str]) -> None:
     keys, tracked = list(keys), list(tracked)
-    log, base = f"{history_path}/observations", f"{history_path}/history"
+    tables = TableSet(spark, history_path)
     obs = batch.select(*keys, F.col(ts).alias(T.SYS_FROM), *tracked).distinct()
-    obs.withColumn(PART, F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int")).write.mode("overwrite").partitionBy(PART).parquet(f"{log}/v={batch_id}")
-    touched = _children(spark, f"{log}/v={batch_id}", f"{PART}=")
-    if touched:
-        kept = [f"{log}/v={v}/{PART}={p}" for p, vs in _folders(spark, log).items() if p in touched for v in vs if v <= batch_id]
-        known = spark.read.parquet(*kept)
-        rebuilt = T.chain(known.select(*keys, T.SYS_FROM, *tracked), keys, T.SYS_FROM, tracked, tiebreak=tracked)
-        rebuilt = rebuilt.withColumn(PART, F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int"))
-        rebuilt.write.mode("overwrite").partitionBy(PART).parquet(f"{base}/v={batch_id}")
-    for part, vs in _folders(spark, base).items():
-        for v, after in zip(vs, vs[1:], strict=False):
-            if after < batch_id:  # a reader of the batch before this one may still be at work
-                fs, p = _fs(spark, f"{base}/v={v}/{PART}={part}")
-                fs.delete(p, True)
+    if not tables.manifest()["tables"]:
+        none = obs.limit(0)
+        tables.create({"observations": (none, keys[0]), "history": (T.chain(none, keys, T.SYS_FROM, tracked, tiebreak=tracked), keys[0])})
+    before = tables.manifest()
+    if before["tables"]["observations"].get("batch", -1) >= batch_id:
+        return
+    new = tables.kept(obs, "observations")
+    touched = tables.kept(new.select(keys[0]).distinct(), "touched")
+    staged = tables.stage("observations", new, keys[0])
+    known = before["tables"]["observations"]
+    own = {**known, "files": known["files"] + staged["files"], "batch": batch_id}
+    changed = {"observations": own}
+    if staged["files"]:
+        stored = tables.read("observations", {"tables": {"observations": own}}, files_that_may_hold(own, touched))
+        mine = stored.alias("a").join(touched.alias("b"), F.col(f"a.{keys[0]}").eqNullSafe(F.col(f"b.{keys[0]}")), "left_semi")
+        rebuilt = T.chain(mine, keys, T.SYS_FROM, tracked, tiebreak=tracked)
+        changed["history"] = replace_rows(tables, before, "history", touched, keys[0], rebuilt)
+    tables.commit(before, changed)
+    for name in changed:
+        if len(tables.manifest()["tables"][name]["files"]) > SMALL_FILES:
+            compact(tables, name, tables.rows_per_file // 4)
 
 
 def start(spark: SparkSession, source_dir: str, schema: str, history_path: str, checkpoint: str,
