@@ -23,6 +23,7 @@ HEADLINE = [
     "reshape_common_fact", "shred_parameters", "shred_responses", "usage_cost_by_role", "reply_parse",
     "model_id_prefix_match", "page_payload_extract", "domain_probe", "column_domains", "subject_area",
     "sieve_roles", "knn_per_collection", "prefilter_knn", "running_total", "correlated_counts",
+    "table_regions", "schema_match", "page_runs", "price_refresh", "spec_refresh", "reply_validate", "path_steps", "usage_cost_by_model",
 ]
 
 

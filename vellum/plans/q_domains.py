@@ -15,6 +15,7 @@ from vellum.functions.text import fold_label
 from vellum.operators import domains as D
 from vellum.operators import fingerprint as FP
 from vellum.plans.registry import query
+from vellum.sources.shared import fresh_dir
 
 NOW = "2024-02-01 00:00:00"
 WORD_SPLIT = r"[^\p{L}\p{N}_]+"
@@ -178,6 +179,17 @@ def classified_names(t):
     return names.select("name", FP.classify(F.col("name")).alias("domains"))
 
 
+def kept_vocabulary(t):
+    """The names that have a domain, classified once and written to the shared folder.
+
+    All are written and then filtered: a filter before would be pushed below
+    the distinct, and the rules would run for every word of every table.
+    """
+    path = f"{fresh_dir(t.spark, 'vocabulary')}/names"
+    classified_names(t).write.parquet(path)
+    return t.spark.read.parquet(path).filter(F.size("domains") > 0)
+
+
 def _rule_sql(col: str) -> str:
     whens = []
     for dom, pats, _ in FP.DOMAIN_RULES:
@@ -208,13 +220,23 @@ def column_domains(t):
 
 
 def table_domains(t):
-    """Distinct domains per table; the classified vocabulary is joined
-    back (AQE broadcasts it when small) and aggregated per table."""
-    cls = classified_names(t).filter(F.size("domains") > 0)
-    d = (doc_words(t).join(cls, "name").select("doc_id", F.explode("domains").alias("d"))
-         .distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list("d")).alias("domains")))
-    return t.documents.select("doc_id").join(d, "doc_id", "left") \
-            .select("doc_id", F.coalesce("domains", F.array().cast("array<string>")).alias("domains"))
+    """Distinct domains per table.
+
+    Only names that have a domain are joined back; under a counted bound they
+    are broadcast, so words aren't shuffled and a word that all tables have is
+    no hot key. Beyond it the join is by word and a salt of the table.
+    """
+    words = doc_words(t)
+    cls = kept_vocabulary(t)
+    small = D.materialised(cls)
+    if small is cls:
+        salts = 32
+        hit = words.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts))).join(
+            cls.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))), ["name", "salt"])
+    else:
+        hit = words.join(small, "name")
+    d = hit.select("doc_id", F.explode("domains").alias("d")).unionByName(t.documents.select("doc_id", F.lit(None).cast("string").alias("d")))
+    return d.groupBy("doc_id").agg(F.array_sort(F.collect_set("d")).alias("domains"))
 
 
 @query("table_domains", oracle=f"""WITH {_WORDS_SQL}
