@@ -10,7 +10,9 @@ the threshold is retrieved. A retrieved item counts if its question and its
 answer both overlap the passage.
 
 The index comes from the test items alone and is broadcast in slices of
-bounded size: documents are scanned once per slice.
+bounded size. Documents are scanned once; each slice has a Python worker of its
+own in a task, so a task's memory grows with the number of slices, that is with
+the test items.
 """
 
 from __future__ import annotations
@@ -232,7 +234,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, rules: Rules = Rules(), *, id_
     ``item_ids``: the ids found, in order, joined by commas, empty if none.
     Null and empty texts and items match nothing; without items nothing is
     contaminated; null ids stay; repeated rows get the same result; repeated
-    items count as they are; other columns are ignored.
+    items count as they are; other columns are ignored; an empty table gives
+    no rows. Texts are searched whole, however long.
     """
     found = _found(docs, items, rules, text_col)
     return found.select(
@@ -248,7 +251,11 @@ def _found(docs: DataFrame, items: DataFrame, rules: Rules, text_col: str) -> Da
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, rules: Rules = Rules(), *, text_col: str = "text") -> DataFrame:
-    """Whole rows of documents without a test item."""
+    """Whole rows of documents without a test item.
+
+    Null and empty texts stay, as do null ids, repeated rows and other
+    columns; an empty table gives an empty table.
+    """
     for index in indexes(items, rules):
         docs = docs.filter(F.size(leak_udf(docs.sparkSession, index)(docs[text_col])) == 0)
     return docs
