@@ -56,7 +56,7 @@ def host_prefix(url) -> Column:
 
 
 def unescape_payload(x) -> Column:
-    """H7: the four ordered replacements for embedded page payloads."""
+    """H7: the four ordered replacements for embedded page payloads (fixed values, in this order)."""
     c = _c(x)
     c = F.replace(c, F.lit('\\\\"'), F.lit('"'))
     c = F.replace(c, F.lit('\\"'), F.lit('"'))

@@ -133,11 +133,6 @@ def reply_rejects(replies: DataFrame, content: str = "content") -> DataFrame:
     return d.select(*keep, "item", reason.alias("reason")).filter("reason is not null")
 
 
-def normalised_ids(df: DataFrame, col: str) -> DataFrame:
-    """H2 applied as a projection."""
-    return df.withColumn("model_id", model_id_normalise(F.col(col)))
-
-
 #: The block that carries a page's payload, and where prices stand in it.
 PUSH_BLOCK = r'(?s)self\.__next_f\.push\(\[\d+,\s*"(.*?)"\]\)'
 LIST_PRICE = r'(?s)"api(?:_endpoint)?"\s*:\s*"([^"]+)".{0,500}?"price"\s*:\s*\[(.*?)\]'

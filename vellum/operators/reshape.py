@@ -93,15 +93,6 @@ def reshape_all(responses: DataFrame, adapters: Iterable[Adapter], keep: Iterabl
     return out
 
 
-def mapping_from_rows(rows: Iterable[dict]) -> dict[str, list[Mapping]]:
-    """Group mapping-table rows (already small config) by adapter name."""
-    by: dict[str, list[Mapping]] = {}
-    for r in rows:
-        by.setdefault(r["adapter"], []).append(
-            Mapping(r["target_col"], r.get("json_path"), r.get("cast"), r.get("const")))
-    return by
-
-
 def object_rows(body, value_schema: str) -> "F.Column":
     """Object of objects -> rows via ``explode(map<string, struct>)``."""
     return F.explode(F.from_json(body, f"map<string,{value_schema}>"))

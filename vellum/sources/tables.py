@@ -31,7 +31,3 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         return table(self.spark, self.sf_dir, name)
-
-    def register_views(self) -> None:
-        for name in TABLES:
-            table(self.spark, self.sf_dir, name).createOrReplaceTempView(name)
