@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,25 @@ def test_schema_match_uses_what_is_known(spark):
     assert [(r.doc_id, r.run) for r in best] == [(1, a.run)]
 
 
+def test_assignment_of_wide_candidates_in_python_numbers():
+    score = np.zeros((2, 99, 10), np.int32)
+    score[:, 98, 0] = score[:, 5, 0] = 700
+    score[0, 7, 9] = score[1, 7, 9] = 299
+    score[1, 97:, 3] = 400
+    total, picks = R.best_picks(score, 300)  # 100 ** 10 picks times the sums are beyond 64 bits
+    assert total.tolist() == [700, 1100]
+    assert picks.tolist() == [[5] + [-1] * 9, [5, -1, -1, 97] + [-1] * 6]
+
+
+def test_boxes_and_assignment_are_not_interpreted_per_row(spark):
+    from vellum.plans import QUERIES
+
+    boxes = QUERIES["price_like_boxes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in boxes and "aggregate(" not in boxes
+    found = spark.createDataFrame([(1, [(0, [500])])], "n int, columns array<struct<col: int, scores: array<int>>>").select(R.assign(F.col("columns"), 1, 300).alias("b"))
+    assert "lambdafunction" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_page_runs(spark):
     rng = random.Random(5)
     pages = [(d, p, sorted(rng.sample("abc", rng.randint(0, 3)))) for d in (1, 2, None) for p in range(0, 80, rng.randint(1, 3))]

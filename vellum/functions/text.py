@@ -105,12 +105,15 @@ def fold_label(x) -> Column:
     """Lower case, compatibility forms (full width, ligatures) and case folds (sharp s, final sigma) resolved, accents taken off.
 
     Composed and decomposed letters fold alike; marks that spell, as vowel
-    signs do, stay. Outside the basic plane only case is folded.
+    signs do, stay. Outside the basic plane only case is folded. A text of
+    ASCII alone (as many bytes as characters) has nothing but case to fold.
     """
-    low = F.translate(F.lower(_c(x)), FOLDED, PLAIN)
+    c = _c(x)
+    low = F.translate(F.lower(c), FOLDED, PLAIN)
     table = F.create_map(*[F.lit(v) for kv in SEVERAL.items() for v in kv])
     spelled = F.array_join(F.transform(F.split(low, ""), lambda c: F.coalesce(table[c], c)), "")
-    return F.regexp_replace(F.when(low.rlike(f"[{''.join(SEVERAL)}]"), spelled).otherwise(low), ACCENTS, "")
+    folded = F.regexp_replace(F.when(low.rlike(f"[{''.join(SEVERAL)}]"), spelled).otherwise(low), ACCENTS, "")
+    return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(folded)
 
 
 def _sql(x) -> str:

@@ -9,15 +9,23 @@ the number of lines. A page higher than ``BAND`` is numbered by several tasks.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.text import fold_label, to_number
 from vellum.operators.sequence import null_safe_left, number_runs
 
+# The function that runs in tasks travels with them: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Height of a page's part that one task puts in order.
 BAND = 10_000.0
 PAGE = ["doc_id", "page_id"]
@@ -99,8 +107,8 @@ def table_rows(boxes: DataFrame, *, min_lines: int = 2, max_gap: float = 1.5, mi
     own = runs.join(gutters(runs, min_gutter, spill).filter(F.col("n_lines") >= min_lines), RUN)
     column = F.transform("cells", lambda c: F.struct(F.size(F.filter("gutters", lambda g: g["lo"] + g["hi"] < c["x0"] + c["x1"])).alias("k"), c["text"].alias("text")))
     own = own.withColumn("own", column)
-    in_column = lambda k: F.transform(F.filter("own", lambda c: c["k"] == k), lambda c: c["text"])
-    values = F.transform(F.sequence(F.lit(0), F.size("gutters")), lambda k: F.array_join(F.nullif(in_column(k), F.array().cast("array<string>")), " "))
+    joined = lambda k: F.aggregate("own", F.lit(None).cast("string"), lambda said, c: F.when(c["k"] == k, F.concat_ws(" ", said, c["text"])).otherwise(said))
+    values = F.transform(F.sequence(F.lit(0), F.size("gutters")), joined)
     return own.select(*RUN, "top", "bottom", F.element_at("cells", 1)["x0"].alias("x0"), F.array_max(F.transform("cells", lambda c: c["x1"])).alias("x1"),
                       F.size("cells").alias("n_cells"), F.coalesce(F.col("top") < F.col("body_top"), F.lit(False)).alias("is_header"), values.alias("values"))
 
@@ -179,8 +187,8 @@ def schema_scores(rows: DataFrame, wanted: Sequence[Wanted], members: DataFrame
         aggs += [F.count_if(~F.col("is_header") & F.col("value").rlike(w.pattern)).alias(f"_pattern{i}")] if w.pattern else []
         aggs += [F.count_if(within & F.col("number").isNotNull()).alias(f"_within{i}")] if w.minimum is not None or w.maximum is not None else []
         aggs += [F.count_if(F.array_contains("domains", w.domain)).alias(f"_domain{i}")] if w.domain else []
-    own = found_columns(values, *aggs)
-    header = fold_label("header")
+    own = found_columns(values, *aggs).withColumn("_header", fold_label("header"))  # once a column, not once a hint
+    header = F.col("_header")
     share = lambda c: F.col(c) / F.greatest("filled", F.lit(1))
     scores = []
     for i, w in enumerate(wanted):
@@ -207,27 +215,56 @@ def assign(columns: Column, n_wanted: int, least: int) -> Column:
 
     A sum of scores over sets of wanted columns is carried from column to
     column (``2 ** n_wanted`` sums, so a schema should have no more than about
-    10 columns). Pairs that score below ``least`` are never assigned. Of equal
-    sums the one that gives earlier wanted columns the earlier found columns.
-    Gives ``(score, picks)``: per wanted column the found one, or null.
+    10 columns), for a batch of candidates at once. Pairs that score below
+    ``least`` are never assigned. Of equal sums the one that gives earlier
+    wanted columns the earlier found columns. Gives ``(score, picks)``: per
+    wanted column the found one, or null.
+    """
+
+    @F.arrow_udf("struct<score: int, picks: array<int>>")
+    def assigned(found: pa.Array) -> pa.Array:
+        size = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)
+        parts = dict(zip(("col", "scores"), found.flatten().flatten()))
+        score = pc.fill_null(parts["scores"].flatten(), -1).to_numpy(zero_copy_only=False).reshape(-1, n_wanted)
+        col = parts["col"].to_numpy(zero_copy_only=False)
+        start = np.cumsum(size) - size
+        total, picks = np.zeros(len(size), np.int32), np.full((len(size), n_wanted), -1, np.int64)
+        for m in np.unique(size[size > 0]):
+            own = np.flatnonzero(size == m)
+            at = start[own][:, None] + np.arange(m)
+            total[own], place = best_picks(score[at], least)
+            picks[own] = np.where(place < 0, -1, col[np.take_along_axis(at, np.maximum(place, 0), axis=1)])
+        flat = pa.array(picks.ravel(), pa.int32(), mask=picks.ravel() < 0)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * n_wanted, pa.int32()), flat)
+        return pa.StructArray.from_arrays([pa.array(total), lists], names=["score", "picks"])
+
+    return assigned(columns)
+
+
+def best_picks(score: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``score[candidate, found column, wanted column]`` the best sums, and the found columns' places by wanted column (-1: none).
+
+    A sum and its picks are one number, the sum before a digit per wanted
+    column that is higher for earlier places, so the greatest number is the
+    best assignment. Numbers beyond 64 bits are Python's.
     """
-    free = F.array(*[F.lit(-(1 << 30))] * n_wanted).cast("array<int>")
-    none = F.struct(F.lit(-1).alias("score"), free.alias("picks"))
-    start = F.concat(F.array(F.struct(F.lit(0).alias("score"), free.alias("picks"))), F.array_repeat(none, (1 << n_wanted) - 1))
-
-    def step(sums: Column, found: Column) -> Column:
-        def best(current: Column, chosen: Column) -> Column:
-            options = [current]
-            for i in range(n_wanted):
-                before = F.get(sums, chosen - (1 << i))
-                may = (chosen.bitwiseAND(F.lit(1 << i)) != 0) & (found["scores"][i] >= least)
-                picks = F.array(*[-found["col"] if q == i else before["picks"][q] for q in range(n_wanted)])
-                options.append(F.when(may & (before["score"] >= 0), F.struct((before["score"] + found["scores"][i]).alias("score"), picks.alias("picks"))))
-            return F.array_max(F.filter(F.array(*options), lambda o: o.isNotNull()))
-        return F.transform(sums, best)
-
-    top = F.array_max(F.aggregate(columns, start, step))
-    return F.struct(top["score"].alias("score"), F.transform(top["picks"], lambda p: F.when(p > -(1 << 30), -p)).alias("picks"))
+    n, m, k = score.shape
+    base = int(m) + 1
+    unit = base**k
+    kind = np.int64 if (max(int(score.max()), 1) * k + 1) * unit < 1 << 60 else object
+    never = -(1 << 60) if kind is np.int64 else -(max(int(score.max()), 1) * k + 1) * unit * 2
+    sums = np.full((n, 1 << k), never, kind)
+    sums[:, 0] = 0
+    for place in range(m):
+        before = sums.copy()
+        for i in range(k):
+            own = score[:, place, i].astype(kind)
+            gain = np.where(score[:, place, i] >= least, own * unit + (base - 1 - place) * base ** (k - 1 - i), never)[:, None]
+            held = np.flatnonzero(np.arange(1 << k) >> i & 1)
+            sums[:, held] = np.maximum(sums[:, held], before[:, held ^ (1 << i)] + gain)
+    best = sums.max(axis=1)
+    digits = np.stack([best // base ** (k - 1 - i) % base for i in range(k)], axis=1).astype(np.int64)
+    return (best // unit).astype(np.int32), np.where(digits > 0, m - digits, -1)
 
 
 def schema_match(rows: DataFrame, wanted: Sequence[Wanted], members: DataFrame | None = None, *, least: float = 0.5) -> DataFrame:

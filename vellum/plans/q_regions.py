@@ -38,25 +38,27 @@ def boxes(t):
         left = F.lit(x) - wide * F.length(value) if right else F.lit(x)
         return F.struct(value.alias("value"), left.cast("double").alias("x"), y.cast("double").alias("y"), F.lit(float(h)).alias("h"))
 
-    n, lit = F.size("items"), lambda s: F.lit(s)
+    n, lit, k = F.size("items"), lambda s: F.lit(s), F.col("k")
+    none = F.array().cast("array<struct<value: string, x: double, y: double, h: double>>")
     head = [text(lit(v), x, F.lit(HEAD), right) for v, x, right in (
         ("Part", 0, False), ("Quantity", QUANTITY, True), ("Unit price", PRICE, True), ("Ship date", DATE, False), ("Discount", DISCOUNT, True))]
-    rows = F.flatten(F.transform("items", lambda i, k: F.array(
-        text(i["part"], 0, HEAD + 12 * (k + 1)), text(i["quantity"], QUANTITY, HEAD + 12 * (k + 1), True), text(i["price"], PRICE, HEAD + 12 * (k + 1), True),
-        text(i["date"], DATE, HEAD + 12 * (k + 1)), text(i["discount"], DISCOUNT, HEAD + 12 * (k + 1), True))))
-    low = HEAD + 12 * (n + 1)
+    i, y = F.col("i"), HEAD + 12 * (k + 1)
+    row = [text(i["part"], 0, y), text(i["quantity"], QUANTITY, y, True), text(i["price"], PRICE, y, True), text(i["date"], DATE, y), text(i["discount"], DISCOUNT, y, True)]
+    low = HEAD + 12 * (F.col("n") + 1)
     total = [(lit("Subtotal"), F.coalesce(F.col("subtotal"), F.lit(0)).cast("decimal(18,2)").cast("string")), (lit("Total"), _money("o_totalprice")), (lit("Status"), F.col("o_orderstatus"))]
     always = [text(F.concat(lit("Order #"), F.col("o_orderkey").cast("string")), 0, F.lit(20), h=20),
               text(F.concat(lit("Sold in dollars, priority "), F.col("o_orderpriority")), 0, F.lit(56)), text(lit("Thank you"), 0, low + 12)]
-    always += [x for i, (k, v) in enumerate(total) for x in (text(k, 0, low + 36 + 12 * i), text(v, QUANTITY, low + 36 + 12 * i, True))]
-    table = F.when(n > 0, F.concat(F.array(*head), rows)).otherwise(F.array().cast("array<struct<value: string, x: double, y: double, h: double>>"))
-    placed = page.select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("page_id"), F.explode(F.concat(F.array(*always), table)).alias("b")).filter("b.value IS NOT NULL")
-    words = F.split("b.value", " ")
+    always += [x for j, (a, v) in enumerate(total) for x in (text(a, 0, low + 36 + 12 * j), text(v, QUANTITY, low + 36 + 12 * j, True))]
+    # a row per item, or one for an order without any; the page's own texts come with the first
+    item = page.select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("page_id"), "o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus", "subtotal",
+                       n.alias("n"), F.posexplode_outer("items").alias("k", "i"))
+    texts = F.concat(F.when(F.coalesce(k, F.lit(0)) == 0, F.array(*always)).otherwise(none), F.when(k == 0, F.array(*head)).otherwise(none), F.when(k >= 0, F.array(*row)).otherwise(none))
+    placed = item.select("doc_id", "page_id", F.explode(texts).alias("b")).filter("b.value IS NOT NULL")
     wide = F.when(F.col("b.h") == 10, 6.0).otherwise(12.0)
-    before = lambda k: F.aggregate(F.slice(words, 1, k), F.lit(0), lambda a, w: a + F.length(w) + 1)
-    each = F.transform(words, lambda w, k: F.struct(F.lit(1).alias("style_id"), (F.col("b.x") + wide * before(k)).alias("x"), F.col("b.y").alias("y"),
-                                                   (wide * F.length(w)).alias("w"), F.col("b.h").alias("h"), w.alias("text")))
-    return placed.select("doc_id", "page_id", F.inline(each))
+    word = placed.select("doc_id", "page_id", "b", F.posexplode(F.split("b.value", " ")).alias("k", "text"))
+    before = F.when(k == 0, 0).otherwise(F.length(F.expr("substring_index(b.value, ' ', k)")) + 1)
+    return word.select("doc_id", "page_id", F.lit(1).alias("style_id"), (F.col("b.x") + wide * before).alias("x"), F.col("b.y").alias("y"),
+                       (wide * F.length("text")).alias("w"), F.col("b.h").alias("h"), "text")
 
 
 def part_names(t):
