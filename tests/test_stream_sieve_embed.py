@@ -126,3 +126,28 @@ def test_feed_touches_its_keys_files_only_and_compacts(spark, tmp_path, monkeypa
     got = sorted(map(tuple, H.latest_history(spark, path).collect()), key=repr)
     want = T.chain(spark.createDataFrame([*rows, (5, t + dt.timedelta(days=9), "w"), (6, t + dt.timedelta(days=9), "w")], schema), ["k"], "t", ["v"], tiebreak=["v"])
     assert got == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_words_of_long_lines_are_placed(spark):
+    from vellum.plans import q_sieve
+
+    lines = ["", " ", "a", " a  b ", "é " * 40 + "end", "x" * 9 + " yy" * 100 + "  "]
+    df = spark.createDataFrame(list(enumerate(lines)), "li int, line string")
+    got = sorted((r.li, r.k, r.o, r.word) for r in q_sieve.words_placed(df).collect())
+    want = []
+    for li, line in enumerate(lines):
+        o = 0
+        for k, w in enumerate(line.split(" ")):
+            want.append((li, k, o, w))
+            o += len(w) + 1
+    assert got == sorted(want)
+
+
+def test_boxes_of_lines_travel_once(spark):
+    boxes = _boxes(spark, [(d, 1, 1, 10.0 * i, 12.0, 9.0, 10.0, "w") for d in (1, 2, None) for i in range(3)])
+    styles = spark.createDataFrame([(1, 1, "bold"), (2, 1, "thin"), (None, 1, "bold")], "doc_id long, style_id int, weight string")
+    lines = S.lines(boxes, styles)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in x and "style_id" not in x and "page_id" in x for x in plan.split("\n")) == 0
+    assert plan.count("REPARTITION_BY_COL") == 1
+    assert sorted((r.doc_id, r.rc, len(r.boxes)) for r in lines.collect()) == [(1, 1, 3), (2, 1, 3)]
