@@ -151,3 +151,11 @@ def test_boxes_of_lines_travel_once(spark):
     assert sum("Exchange hashpartitioning" in x and "style_id" not in x and "page_id" in x for x in plan.split("\n")) == 0
     assert plan.count("REPARTITION_BY_COL") == 1
     assert sorted((r.doc_id, r.rc, len(r.boxes)) for r in lines.collect()) == [(1, 1, 3), (2, 1, 3)]
+
+
+def test_cells_of_a_line_are_made_once(spark):
+    boxes = _boxes(spark, [(1, 1, 1, float(i), 12.0, 1.0, 10.0, "w%d" % i) for i in range(30)])
+    cells = S.cells(S.lines(boxes, spark.createDataFrame([(1, 1, "bold")], "doc_id long, style_id int, weight string")))
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("filter(sequence(") == 1
+    assert [(r.cid, r.text) for r in cells.orderBy("cid").collect()] == [(i + 1, "w%d" % i) for i in range(30)]
