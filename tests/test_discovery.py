@@ -137,6 +137,14 @@ def test_pick_is_the_last_step(spark):
         ST.apply_steps(df, "doc", [ST.Pick({"one": "a"}), ST.Field("a")])
 
 
+def test_steps_parse_a_text_once(spark):
+    df = spark.createDataFrame([(1, '{"a": {"x": {"b": [{"n": "1", "in": "q"}, [{"n": "2", "in": "q"}]]}, "y": 3}}')], "id int, doc string")
+    got = ST.apply_steps(df, "doc", [ST.Field("a"), ST.Values(), ST.Field("b"), ST.Flatten(), ST.Where("in", "==", "q"), ST.Pick({"n": "n"})])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and "Union" not in plan
+    assert sorted((r.value.n, r.place) for r in got.collect()) == [("1", [0, 0]), ("2", [0, 1, 0])]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_late_boxes_in_any_order(spark, tmp_path, seed):
     rng = random.Random(seed)

@@ -67,45 +67,44 @@ def name_path(name: str) -> str:
     raise ValueError(f"no path says the name {name!r}")
 
 
-def _exploded(df: DataFrame, of: Column, outer: bool = False) -> DataFrame:
-    """Rows for the elements or values of ``of``: ``_vl_at``, ``_vl_key`` (null for arrays), ``_vl_value``."""
-    spark = df.sparkSession
-    tvf = spark.tvf.variant_explode_outer if outer else spark.tvf.variant_explode
-    return df.lateralJoin(tvf(of.outer()).toDF("_vl_at", "_vl_key", "_vl_value"))
-
-
 def apply_steps(df: DataFrame, value: str, steps: Sequence, out: str = "value") -> DataFrame:
     """``df`` without ``value``, with ``out`` (variant, or a struct of texts after ``Pick``) and ``place``, the way to it in order.
 
     ``value`` is JSON text or a variant; null and text that isn't JSON yield
     no rows. Rows of one input row are in the order of ``place``, an array.
+
+    A text is parsed once: its value comes out of a generator, below which no
+    filter is pushed. Fields and indexes only lengthen the path that the next
+    other step reads, so nothing between is built.
     """
     text = dict(df.dtypes)[value] == "string"
-    own = df.withColumn("_vl_v", F.try_parse_json(F.col(value)) if text else F.col(value)).withColumn("_vl_place", F.array().cast("array<int>")).drop(value)
-    names = [c for c in own.columns if not c.startswith("_vl_")]
-    is_a = lambda c, kind: F.coalesce(F.schema_of_variant(c).startswith(kind), F.lit(False))
-    v = F.col("_vl_v")
+    names = [c for c in df.columns if c != value]
+    parsed = F.try_parse_json(F.col(value)) if text else F.col(value)
+    own = df.select(*names, F.array().cast("array<int>").alias("_vl_place"), F.explode(F.array(parsed)).alias("_vl_v"))
+    path = "$"
+    at = lambda kind, more="": F.try_variant_get("_vl_v", path + more, kind)
     picked = None
     for step in steps:
         if picked is not None:
             raise ValueError("Pick is the last step")
-        own = own.filter(v.isNotNull() & ~F.is_variant_null(v))
         if isinstance(step, Field):
-            own = own.withColumn("_vl_v", F.try_variant_get(v, name_path(step.name), "variant"))
+            path += name_path(step.name)[1:]
         elif isinstance(step, Index):
-            own = own.withColumn("_vl_v", F.try_variant_get(v, f"$[{step.at}]", "variant"))
+            path += f"[{step.at}]"
         elif isinstance(step, Values):
-            rows = _exploded(own.filter(is_a(v, "OBJECT")), v)
-            own = rows.select(*names, F.col("_vl_value").alias("_vl_v"), F.array_append("_vl_place", F.col("_vl_at")).alias("_vl_place"))
+            rows = own.select(*names, "_vl_place", F.posexplode(at("map<string,variant>")).alias("_vl_at", "_vl_key", "_vl_v"))
+            own, path = rows.select(*names, F.array_append("_vl_place", F.col("_vl_at")).alias("_vl_place"), "_vl_v"), "$"
         elif isinstance(step, Flatten):
-            rows = _exploded(own.filter(is_a(v, "ARRAY")), v).select(*names, F.col("_vl_value").alias("_vl_v"), F.array_append("_vl_place", F.col("_vl_at")).alias("_vl_place"))
-            inner = _exploded(rows.filter(is_a(v, "ARRAY")), v).select(*names, F.col("_vl_value").alias("_vl_v"), F.array_append("_vl_place", F.col("_vl_at")).alias("_vl_place"))
-            own = rows.filter(~is_a(v, "ARRAY")).unionByName(inner)
+            rows, path = own.select(*names, "_vl_place", F.posexplode(at("array<variant>")).alias("_vl_at", "_vl_v")), "$"
+            listed = at("array<variant>")
+            rows = rows.select(*names, F.array_append("_vl_place", F.col("_vl_at")).alias("_vl_place"), listed.isNotNull().alias("_vl_list"),
+                               F.posexplode(F.coalesce(listed, F.array("_vl_v"))).alias("_vl_at", "_vl_v"))
+            own = rows.select(*names, F.when(F.col("_vl_list"), F.array_append("_vl_place", F.col("_vl_at"))).otherwise(F.col("_vl_place")).alias("_vl_place"), "_vl_v")
         elif isinstance(step, Where):
             kind = "string" if isinstance(step.value, str) else "double"
-            own = own.filter(F.coalesce(OPS[step.op](F.try_variant_get(v, name_path(step.name), kind), F.lit(step.value)), F.lit(False)))
+            own = own.filter(F.coalesce(OPS[step.op](at(kind, name_path(step.name)[1:]), F.lit(step.value)), F.lit(False)))
         else:
-            picked = F.struct(*[F.try_variant_get(v, name_path(name), "string").alias(alias) for alias, name in step.names.items()])
-    own = own.filter(v.isNotNull() & ~F.is_variant_null(v))
-    return own.select(*names, (picked if picked is not None else v).alias(out), F.col("_vl_place").alias("place"))
-
+            picked = F.struct(*[at("string", name_path(name)[1:]).alias(alias) for alias, name in step.names.items()])
+    whole = F.col("_vl_v") if path == "$" else at("variant")
+    own = own.filter(whole.isNotNull() & ~F.is_variant_null(whole))
+    return own.select(*names, (picked if picked is not None else whole).alias(out), F.col("_vl_place").alias("place"))
