@@ -98,6 +98,14 @@ def test_declared_rules_and_retries(spark):
     assert queue == {1: (2, "retry", "item 1: n: below 0"), 2: (None, "quarantine", "no list of records"), 4: (3, "retry", "item 0: n: no number, x: not declared"), 5: (2, "retry", "no list of records")}
 
 
+def test_retries_parse_a_record_once(spark):
+    replies = spark.createDataFrame([(1, 1, '[{"id": "a"}, {"id": "B", "n": 9}]')], "k int, attempt int, content string")
+    queue = validate.retry_queue(validate.validate_replies(replies, RULES), ["k"], "attempt")
+    plan = queue._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 2 and plan.count("json_object_keys") + plan.count("jsonObjectKeys") == 1  # a reply, and a record
+    assert [tuple(r) for r in queue.collect()] == [(1, 2, "retry", "item 1: id: unlike the pattern, n: above 5")]
+
+
 def jmes(v, steps):
     """The same steps over parsed JSON."""
     rows = [v]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -43,10 +43,13 @@ def violations(record: str, rules: Sequence[Rule], extra_keys: bool = False) ->
     counts as there. A number in quotes is a string. Bounds hold for numbers,
     patterns (found anywhere) and enums for the value as text.
     """
-    text = F.col(record)
-    whole = F.try_parse_json(text)
-    keys = F.when(whole.isNotNull(), F.json_object_keys(text))
-    found = [field_violation(whole, r) for r in rules]
+    whole = F.try_parse_json(F.col(record))
+    values = [F.try_variant_get(whole, name_path(r.field), "variant") for r in rules]
+    return _violations(F.when(whole.isNotNull(), F.json_object_keys(F.col(record))), values, [F.schema_of_variant(v) for v in values], rules, extra_keys)
+
+
+def _violations(keys: Column, values: Sequence[Column], types: Sequence[Column], rules: Sequence[Rule], extra_keys: bool) -> Column:
+    found = [field_violation(v, t, r) for v, t, r in zip(values, types, rules, strict=True)]
     if not extra_keys:
         unknown = F.array_sort(F.array_except(keys, F.array(*[F.lit(r.field) for r in rules]).cast("array<string>")))
         extra = F.transform(unknown, lambda k: F.concat(k, F.lit(": not declared")))
@@ -55,11 +58,9 @@ def violations(record: str, rules: Sequence[Rule], extra_keys: bool = False) ->
     return F.when(keys.isNull(), F.array(F.lit("not an object"))).otherwise(F.concat(F.array_compact(F.array(*found)), extra))
 
 
-def field_violation(whole: Column, rule: Rule) -> Column:
-    path = name_path(rule.field)
-    value = F.try_variant_get(whole, path, "variant")
-    told = F.schema_of_variant(value)
-    text, number = F.try_variant_get(whole, path, "string"), F.try_variant_get(whole, path, "double")
+def field_violation(value: Column, told: Column, rule: Rule) -> Column:
+    """What is wrong with a field's ``value`` (a variant) of the type ``told``; null if nothing is."""
+    text, number = F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", "double")
     numeric = told.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
     kinds = {"string": told == "STRING", "number": numeric, "integer": numeric & (number == F.floor(number)), "boolean": told == "BOOLEAN",
              "array": told.startswith("ARRAY"), "object": told.startswith("OBJECT")}
@@ -80,9 +81,24 @@ def field_violation(whole: Column, rule: Rule) -> Column:
     return F.when(broken.isNotNull(), F.concat(F.lit(f"{rule.field}: "), broken))
 
 
+def _validated(rows: DataFrame, record: str, rules: Sequence[Rule], extra_keys: bool, given: Callable[[Column], Column] = lambda v: v) -> DataFrame:
+    """``rows`` with ``violations`` (as ``given`` has them), each record parsed once.
+
+    What several conditions use is in columns of its own. The result comes
+    out of a generator: a filter on it would else be pushed below, with all
+    of this written out again at each place that uses it.
+    """
+    d = rows.withColumn("_vl_whole", F.try_parse_json(F.col(record)))
+    d = d.withColumns({"_vl_keys": F.when(F.col("_vl_whole").isNotNull(), F.json_object_keys(F.col(record))),
+                       **{f"_vl_v{i}": F.try_variant_get("_vl_whole", name_path(r.field), "variant") for i, r in enumerate(rules)}})
+    d = d.withColumns({f"_vl_t{i}": F.schema_of_variant(f"_vl_v{i}") for i in range(len(rules))})
+    found = _violations(F.col("_vl_keys"), [F.col(f"_vl_v{i}") for i in range(len(rules))], [F.col(f"_vl_t{i}") for i in range(len(rules))], rules, extra_keys)
+    return d.select(*[c for c in rows.columns if c != "violations"], F.explode(F.array(given(found))).alias("violations"))
+
+
 def validate(rows: DataFrame, record: str, rules: Sequence[Rule], extra_keys: bool = False) -> DataFrame:
     """``rows`` with ``violations``; the valid ones have none."""
-    return rows.withColumn("violations", violations(record, rules, extra_keys))
+    return _validated(rows, record, rules, extra_keys)
 
 
 def validate_replies(replies: DataFrame, rules: Sequence[Rule] = PRICE_RULES, content: str = "content", extra_keys: bool = False) -> DataFrame:
@@ -90,8 +106,8 @@ def validate_replies(replies: DataFrame, rules: Sequence[Rule] = PRICE_RULES, co
     keep = [c for c in replies.columns if c != content]
     rows = _reply_items(replies, content).withColumn("_vl_bad", F.col("_vl_items").isNull()).select(
         *keep, "_vl_bad", F.posexplode_outer("_vl_items").alias("item", "_vl_record")).withColumn("record", F.to_json("_vl_record"))
-    own = F.when(F.col("_vl_bad"), F.array(F.lit("no list of records"))).when(F.col("item").isNull(), F.array().cast("array<string>")).otherwise(violations("record", rules, extra_keys))
-    return rows.select(*keep, "item", "record", own.alias("violations"))
+    given = lambda v: F.when(F.col("_vl_bad"), F.array(F.lit("no list of records"))).when(F.col("item").isNull(), F.array().cast("array<string>")).otherwise(v)
+    return _validated(rows, "record", rules, extra_keys, given).select(*keep, "item", "record", "violations")
 
 
 def retry_queue(validated: DataFrame, keys: Sequence[str], attempt: str, most: int = 3) -> DataFrame:
