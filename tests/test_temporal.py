@@ -1,7 +1,10 @@
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from vellum.operators import sequence as Q
 from vellum.operators import temporal as T
 
 
@@ -45,6 +48,40 @@ def test_chain_bucket_boundaries_match_unbucketed(spark):
         assert [tuple(r) for r in got] == brute_chain(rows)
 
 
+@pytest.mark.parametrize("long", [0, 3, 1000])
+def test_long_and_short_keys_give_the_same(spark, monkeypatch, long):
+    monkeypatch.setattr(Q, "LONG_KEY", long)
+    rng = random.Random(5)
+    rows = [(k, ts(rng.randint(0, 40)) if rng.random() > 0.1 else None, rng.choice(["x", "y", None]), i) for k, n in (("a", 40), ("b", 3), (None, 9), ("c", 1)) for i in range(n)]
+    last = {(k, t): (v, o) for k, t, v, o in sorted(rows, key=lambda r: r[3])}
+    want = []
+    for k in ("a", "b", None, "c"):
+        seq = sorted(((t, v) for (kk, t), (v, _) in last.items() if kk == k), key=lambda p: (p[0] is not None, p[0] or ts(0)))
+        kept = [p for i, p in enumerate(seq) if i == 0 or seq[i - 1][1] != p[1]]
+        want += [(k, v, t, kept[i + 1][0] if i + 1 < len(kept) else None) for i, (t, v) in enumerate(kept) if t is not None]
+    chain = T.chain(obs(spark, rows), ["k"], "t", ["v"], tiebreak=["ord"], bucket_seconds=5 * 3600)
+    assert sorted(map(tuple, chain.collect()), key=repr) == sorted(want, key=repr)
+    timed = [r for r in rows if r[1] is not None]
+    joined = T.as_of_join(obs(spark, timed), chain.select("k", "sys_from", F.col("sys_from").alias("since")), ["k"], "t", "sys_from", ["since"], bucket_seconds=5 * 3600)
+    starts = [(k, t) for k, _, t, _ in want]
+    assert sorted(((r.k, r.ord, r.since) for r in joined.collect()), key=repr) == sorted(((k, o, max((s for kk, s in starts if kk == k and s <= t), default=None)) for k, t, _, o in timed), key=repr)
+    near = Q.neighbours(obs(spark, rows), ["k"], ["t", "ord"], ["ord", "v"], bucket_seconds=5 * 3600)
+    total = Q.running_sum(obs(spark, rows), ["k"], ["t", "ord"], "ord", bucket_seconds=5 * 3600)
+    got = {(r.k, r.ord): (r.prev_ord, r.prev_v, r.next_ord, r.next_v) for r in near.collect()}
+    sums = {(r.k, r.ord): (r.prev_ord, r.running_ord) for r in total.collect()}
+    for k in ("a", "b", None, "c"):
+        seq = sorted(((t is not None, t or ts(0), o, v) for kk, t, v, o in rows if kk == k), key=lambda r: r[:3])
+        for i, (timed, _, o, _) in enumerate(seq):
+            a, b = (seq[i - 1][2:] if i else (None, None)), (seq[i + 1][2:] if i + 1 < len(seq) and seq[i + 1][0] == timed else (None, None))
+            assert got[k, o] == (*a, *b) and sums[k, o] == (a[0], sum(r[2] for r in seq[:i + 1]))
+
+
+def test_short_keys_need_no_summary(spark):
+    df = obs(spark, [("a", ts(i), str(i), i) for i in range(5)])
+    plan = T.as_of_join(df, T.chain(df, ["k"], "t", ["v"], tiebreak=["ord"]), ["k"], "t", "sys_from", ["sys_to"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
 def test_upsert_rules_and_idempotence(spark):
     hist = spark.createDataFrame(
         [("a", "1", ts(0), None), ("b", "2", ts(0), None), ("c", "3", ts(0), ts(1)), ("c", "4", ts(1), None),

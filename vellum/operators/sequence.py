@@ -10,11 +10,17 @@ number of rows.  Results are exact: identical to the unbucketed window.
 
 Whole rows are exchanged once, by ``(key, bucket)``: windows, summary and the
 join of the two use that exchange; only summary rows are exchanged again.
+
+Where keys are short, nearly every row is a bucket of its own and the summary
+is as large as the rows. So only the buckets of long keys are by time: keys of
+more than ``LONG_KEY`` rows, counted first. Without any, a plain window by key
+does all, sorted once, with no summary.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +28,8 @@ from pyspark.sql import functions as F
 BUCKET = "_vl_bucket"
 KEY = "_vl_key"
 DEFAULT_BUCKET_SECONDS = 7 * 86400
+#: A key of more rows than this is sorted by several tasks.
+LONG_KEY = 500_000
 
 
 def bucket_of(ts: str | Column, seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
@@ -41,9 +49,22 @@ def null_safe_left(d: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFra
     return d.join(marked, on=cond, how="left").drop(*[f"_vl_on_{c}" for c in on])
 
 
-def _exchanged(df: DataFrame, keys: Sequence[str], band: Column) -> DataFrame:
-    """``df`` with its key as a struct (in which nulls are equal) and its bucket, exchanged by both: the one exchange of whole rows."""
-    return df.withColumn(KEY, F.struct(*keys)).withColumn(BUCKET, band).repartition(KEY, BUCKET)
+def long_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys of more than ``LONG_KEY`` rows; None if there are none. There is at most one such key for that many rows, so they are collected."""
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_vl_n")).filter(F.col("_vl_n") > LONG_KEY).select(*keys)
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
+def _exchanged(df: DataFrame, keys: Sequence[str], band: Column, long: DataFrame | None = None) -> DataFrame:
+    """``df`` with its key as a struct (in which nulls are equal) and its bucket, exchanged by both: the one exchange of whole rows.
+
+    With ``long``, the other keys have one bucket each, and one for rows without a time.
+    """
+    if long is None:
+        return df.withColumn(KEY, F.struct(*keys)).withColumn(BUCKET, band).repartition(KEY, BUCKET)
+    marked = null_safe_left(df, F.broadcast(long.select(*keys).withColumn("_vl_long", F.lit(True))), keys)
+    return marked.withColumn(KEY, F.struct(*keys)).withColumn(BUCKET, F.when(F.col("_vl_long") | band.isNull(), band).otherwise(F.lit(0).cast("long"))).drop("_vl_long").repartition(KEY, BUCKET)
 
 
 def _per_bucket(d: DataFrame, columns: Sequence[str], *aggs: Column) -> DataFrame:
@@ -60,6 +81,10 @@ def _in_order(order: Sequence[str]):
     return Window.partitionBy(KEY, BUCKET).orderBy(*order)
 
 
+def _of_key(keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(*order)
+
+
 def _buckets():
     return Window.partitionBy(KEY).orderBy(BUCKET)
 
@@ -79,7 +104,14 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     columns break ties so the order is total.
     """
     keys, order, values = list(keys), list(order), list(values)
-    whole = _exchanged(df, keys, bucket_of(order[0], bucket_seconds))
+    long = long_keys(df, keys)
+    if long is None:
+        w = _of_key(keys, order)
+        timed = F.col(order[0]).isNotNull() | F.lead(order[0]).over(w).isNull()  # of rows without a time the last has no next, as it is a bucket's last
+        before = [F.lag(v).over(w).alias(prefix_prev + v) for v in values] if prev else []
+        after = [F.when(timed, F.lead(v).over(w)).alias(prefix_next + v) for v in values] if nxt else []
+        return df.select("*", *before, *after)
+    whole = _exchanged(df, keys, bucket_of(order[0], bucket_seconds), long)
     w, at = _in_order(order), _order_struct(order)
     d, edges = whole, []
     if prev:
@@ -102,16 +134,20 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   value: str, is_source: Column, *,
                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                  out: str | None = None) -> DataFrame:
+                  out: str | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """For every row, the ``value`` of the latest row at or before it (in
     ``order`` within ``keys``) for which ``is_source`` holds; null values are passed over.
 
     This is the as-of lookup used by :func:`vellum.operators.temporal.as_of_join`.
+    ``sizes``: rows by whose keys long ones are told, when ``df`` costs much to count.
     """
     keys, order = list(keys), list(order)
     out = out or f"asof_{value}"
-    whole = _exchanged(df, keys, bucket_of(order[0], bucket_seconds))
     here = F.when(is_source, F.col(value))
+    long = long_keys(df if sizes is None else sizes, keys)
+    if long is None:
+        return df.withColumn(out, F.last(here, ignorenulls=True).over(_of_key(keys, order).rowsBetween(*_SO_FAR)))
+    whole = _exchanged(df, keys, bucket_of(order[0], bucket_seconds), long)
     d = whole.withColumn("_vl_in", F.last(here, ignorenulls=True).over(_in_order(order).rowsBetween(*_SO_FAR)))
     last = F.max_by(_values([value]), F.when(here.isNotNull(), _order_struct(order)))
     summ = _per_bucket(whole, df.columns, last.alias("_vl_last"))
@@ -131,7 +167,12 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     """
     keys, order = list(keys), list(order)
     out = out or f"running_{value}"
-    whole = _exchanged(df, keys, bucket_of(order[0], bucket_seconds))
+    long = long_keys(df, keys)
+    if long is None:
+        w = _of_key(keys, order)
+        before = F.lag(value).over(w).alias(f"prev_{value}")
+        return df.select("*", *([before] if with_prev else []), F.sum(value).over(w.rowsBetween(*_SO_FAR)).alias(out))
+    whole = _exchanged(df, keys, bucket_of(order[0], bucket_seconds), long)
     w = _in_order(order)
     d = whole.withColumn("_vl_in", F.sum(value).over(w.rowsBetween(*_SO_FAR))).withColumn("_vl_prev", F.lag(_values([value])).over(w))
     summ = _per_bucket(whole, df.columns, F.sum(value).alias("_vl_bt"), F.max_by(_values([value]), _order_struct(order)).alias("_vl_last"))
@@ -149,11 +190,23 @@ def versions(df: DataFrame, keys: Sequence[str], ts: str, tracked: Sequence[str]
 
     Rows of one key and time are one first, the last by ``tiebreak`` (any,
     without one). A bucket decides all but its first row by itself; that one,
-    and the end of its last version, come from the summary of the buckets.
+    and the end of its last version, come from the summary of the buckets. A
+    row without a time begins no version, though what follows is compared to it.
     """
     keys, tracked = list(keys), list(tracked)
     row = F.struct(*keys, *tracked)
-    whole = _exchanged(df.select(*keys, ts, *tracked, *[c for c in tiebreak if c not in keys and c not in tracked and c != ts]), keys, bucket_of(ts, bucket_seconds))
+    df = df.select(*keys, ts, *tracked, *[c for c in tiebreak if c not in keys and c not in tracked and c != ts])
+    long = long_keys(df, keys)
+    if long is None:
+        # one sort does: rows of a time stand together, the last of them by ``tiebreak`` stays
+        later = F.lead(F.struct(ts)).over(_of_key(keys, [ts, *tiebreak]))
+        once = df.withColumn("_vl_later", later).filter(F.col("_vl_later").isNull() | ~F.col("_vl_later")[ts].eqNullSafe(F.col(ts)))
+        w = _of_key(keys, [ts])
+        before = F.lag(F.struct(*tracked)).over(w)
+        same = reduce(lambda a, b: a & b, [F.col("_vl_before")[c].eqNullSafe(F.col(c)) for c in tracked], F.lit(True))
+        kept = once.withColumn("_vl_before", before).filter(F.col("_vl_before").isNull() | ~same)
+        return kept.select(*keys, *tracked, ts, F.lead(ts).over(w).alias(until)).filter(F.col(ts).isNotNull())
+    whole = _exchanged(df, keys, bucket_of(ts, bucket_seconds), long)
     last = F.max_by(row, F.struct(*tiebreak)) if tiebreak else F.first(row)
     once = whole.groupBy(KEY, BUCKET, ts).agg(last.alias("_vl_row"))  # in place: rows of a time share a bucket
 

@@ -154,13 +154,15 @@ def integrity(history: DataFrame, keys: Sequence[str],
 
 def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
                right_from: str, values: Sequence[str], right_to: str | None = None,
-               bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+               bucket_seconds: int = DEFAULT_BUCKET_SECONDS, sizes: DataFrame | None = None) -> DataFrame:
     """As-of join (J13): every ``left`` row gets the ``right`` version in
     effect at ``left_ts`` — the latest with ``right_from <= left_ts`` (and
     ``left_ts < right_to`` when an explicit end column is given).
 
     Planned as union + bucketed carry-forward, never as a range join, so the
     cost is a sort of both sides and hot keys are split by time bucket.
+    ``sizes``: rows by whose ``keys`` hot ones are told; without it both sides
+    are counted. It decides who sorts a key, never what comes out.
     """
     keys, values = list(keys), list(values)
     lcols = [c for c in left.columns if c not in keys]
@@ -173,7 +175,7 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts:
                           F.struct(*vals).alias("_vl_r"))
     u = l_part.unionByName(r_part)
     cf = carry_forward(u, keys, ["_vl_t", "_vl_side"], "_vl_r", F.col("_vl_side") == 0,
-                       bucket_seconds=bucket_seconds, out="_vl_v")
+                       bucket_seconds=bucket_seconds, out="_vl_v", sizes=sizes)
     res = cf.filter(F.col("_vl_side") == 1)
     if right_to:
         res = res.withColumn("_vl_v", F.when(F.col("_vl_v")[right_to].isNull()

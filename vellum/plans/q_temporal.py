@@ -229,7 +229,7 @@ def asof_cost_join(t):
     """J13 + H6: price in effect at order time, times quantity."""
     li = (t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
           .join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey"))
-    j = T.as_of_join(li, price_chain(t), ["l_partkey"], "o_orderdate", "sys_from", ["unit_price"])
+    j = T.as_of_join(li, price_chain(t), ["l_partkey"], "o_orderdate", "sys_from", ["unit_price"], sizes=t.lineitem)
     return j.select("l_orderkey", "l_linenumber", "l_partkey", "o_orderdate", "unit_price",
                     (F.col("l_quantity") * F.col("unit_price")).alias("cost"))
 
