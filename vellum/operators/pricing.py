@@ -184,15 +184,16 @@ def payload_prices(pages: DataFrame, payload: str, provider: str, shape: str, ke
 MODES = {"standard": (1.0, 1.0), "cache_read": (0.1, 1.0), "cache_write_5m": (1.25, 1.0), "cache_write_1h": (2.0, 1.0), "batch": (0.5, 0.5)}
 
 
-def cost_at_call(calls: DataFrame, history: DataFrame, model: str, called_at: str, mode: str = "mode", modes: dict[str, tuple[float, float]] = MODES) -> DataFrame:
+def cost_at_call(calls: DataFrame, history: DataFrame, model: str, called_at: str, mode: str = "mode", modes: dict[str, tuple[float, float]] = MODES,
+                 sizes: DataFrame | None = None) -> DataFrame:
     """Q6 + H6 + J13: each call with the prices that were in effect when it was made, and its cost.
 
     ``calls`` has ``prompt_tokens`` and ``completion_tokens``; ``history`` has
     ``model``, ``sys_from``, ``input_per_mtok`` and ``output_per_mtok``. A
     null mode is ``standard``; a call of an unknown mode, or from before its
-    model's first price, has a null cost.
+    model's first price, has a null cost. ``sizes`` is as in ``as_of_join``.
     """
-    priced = as_of_join(calls, history, [model], called_at, "sys_from", ["input_per_mtok", "output_per_mtok"])
+    priced = as_of_join(calls, history, [model], called_at, "sys_from", ["input_per_mtok", "output_per_mtok"], sizes=sizes)
     kind = F.coalesce(F.col(mode), F.lit("standard"))
     times = [F.create_map(*[F.lit(x) for k, v in modes.items() for x in (k, v[i])])[kind] for i in (0, 1)]
     cost = F.col("prompt_tokens") * F.col("input_per_mtok") * times[0] + F.col("completion_tokens") * F.col("output_per_mtok") * times[1]

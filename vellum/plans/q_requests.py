@@ -30,7 +30,7 @@ def usage_cost_by_model(t):
         "model", "user_id", "called_at", (F.col("l_quantity") * 1000).alias("prompt_tokens"), (F.col("l_linenumber") * 100).alias("completion_tokens"),
         F.when(F.col("l_returnflag") == "R", "cache_read").when(F.col("l_returnflag") == "A", "batch").alias("mode"))
     history = price_chain(t).select(F.col("l_partkey").alias("model"), "sys_from", F.col("unit_price").alias("input_per_mtok"), (F.col("unit_price") * 5).alias("output_per_mtok"))
-    priced = P.cost_at_call(calls, history, "model", "called_at")
+    priced = P.cost_at_call(calls, history, "model", "called_at", sizes=line)
     return priced.groupBy("model").agg(F.count_distinct("user_id").alias("n_users"), F.count(F.lit(1)).alias("calls"), F.count_if(F.col("cost").isNull()).alias("unpriced"),
                                        F.round(F.sum("cost"), 4).alias("cost"))
 
