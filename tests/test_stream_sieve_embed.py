@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import tempfile
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -159,3 +160,17 @@ def test_cells_of_a_line_are_made_once(spark):
     plan = cells._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("filter(sequence(") == 1
     assert [(r.cid, r.text) for r in cells.orderBy("cid").collect()] == [(i + 1, "w%d" % i) for i in range(30)]
+
+
+def test_hashed_vectors_count_by_word(spark):
+    rows = [(1, "a b  a C"), (None, None), (1, ""), (2, " x\ty z "), (3, "a " * 500)]
+    df = E.hashed_vectors(spark.createDataFrame(rows, "k int, t string"), "k", F.col("t"), dim=7)
+    assert "aggregate(" not in df._jdf.queryExecution().optimizedPlan().toString()  # no loop over places and words a row
+    want = []
+    for k, t in rows:
+        v = [0.0] * 7
+        for w in (t or "").lower().split():
+            c = zlib.crc32(w.encode())
+            v[c % 7] += 1.0 if c >> 16 & 1 else -1.0
+        want.append((k, v))
+    assert sorted(((r.key, list(r.embedding)) for r in df.collect()), key=repr) == sorted(want, key=repr)

@@ -15,6 +15,9 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,9 +125,16 @@ def hashed_vectors(df: DataFrame, key: str, text: Column, dim: int = 64) -> Data
     """P4, without a model: signed word counts in ``dim`` hashed places, ``(key, embedding)``.
 
     A word's place is its crc32 modulo ``dim``, its sign a bit of the crc32;
-    a null or empty text has the zero vector.
+    a null or empty text has the zero vector. The places of a batch of rows
+    are counted at once, so the work is by word, not by word and place.
     """
+
+    @F.arrow_udf("array<double>")
+    def counted(crcs: pa.Array) -> pa.Array:
+        flat = crcs.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(crcs)), pc.list_value_length(crcs).to_numpy(zero_copy_only=False))
+        sums = np.bincount(row * dim + flat % dim, np.where(flat >> 16 & 1, 1.0, -1.0), len(crcs) * dim)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(crcs) + 1) * dim, pa.int32()), pa.array(sums, pa.float64()))
+
     crcs = F.transform(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != ""), lambda w: F.crc32(w.cast("binary")))
-    one = lambda c: F.when(F.shiftright(c, 16).bitwiseAND(F.lit(1)) == 1, 1.0).otherwise(-1.0)
-    place = lambda i: F.aggregate(F.filter(F.col("_vl_crcs"), lambda c: c % dim == i), F.lit(0.0), lambda s, c: s + one(c))
-    return df.select(F.col(key).alias("key"), crcs.alias("_vl_crcs")).select("key", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), place).alias("embedding"))
+    return df.select(F.col(key).alias("key"), counted(crcs).alias("embedding"))
