@@ -53,12 +53,13 @@ def test_long_and_short_keys_give_the_same(spark, monkeypatch, long):
     monkeypatch.setattr(Q, "LONG_KEY", long)
     rng = random.Random(5)
     rows = [(k, ts(rng.randint(0, 40)) if rng.random() > 0.1 else None, rng.choice(["x", "y", None]), i) for k, n in (("a", 40), ("b", 3), (None, 9), ("c", 1)) for i in range(n)]
-    last = {(k, t): (v, o) for k, t, v, o in sorted(rows, key=lambda r: r[3])}
+    rows += [("d", None, "x", 0), ("d", ts(1), "x", 1), ("d", ts(9), "y", 2)]  # one without a time is no version, and none before the next
+    last = {(k, t): (v, o) for k, t, v, o in sorted(rows, key=lambda r: r[3]) if t is not None}
     want = []
-    for k in ("a", "b", None, "c"):
-        seq = sorted(((t, v) for (kk, t), (v, _) in last.items() if kk == k), key=lambda p: (p[0] is not None, p[0] or ts(0)))
+    for k in ("a", "b", None, "c", "d"):
+        seq = sorted(((t, v) for (kk, t), (v, _) in last.items() if kk == k), key=lambda p: p[0])
         kept = [p for i, p in enumerate(seq) if i == 0 or seq[i - 1][1] != p[1]]
-        want += [(k, v, t, kept[i + 1][0] if i + 1 < len(kept) else None) for i, (t, v) in enumerate(kept) if t is not None]
+        want += [(k, v, t, kept[i + 1][0] if i + 1 < len(kept) else None) for i, (t, v) in enumerate(kept)]
     chain = T.chain(obs(spark, rows), ["k"], "t", ["v"], tiebreak=["ord"], bucket_seconds=5 * 3600)
     assert sorted(map(tuple, chain.collect()), key=repr) == sorted(want, key=repr)
     timed = [r for r in rows if r[1] is not None]
@@ -69,7 +70,7 @@ def test_long_and_short_keys_give_the_same(spark, monkeypatch, long):
     total = Q.running_sum(obs(spark, rows), ["k"], ["t", "ord"], "ord", bucket_seconds=5 * 3600)
     got = {(r.k, r.ord): (r.prev_ord, r.prev_v, r.next_ord, r.next_v) for r in near.collect()}
     sums = {(r.k, r.ord): (r.prev_ord, r.running_ord) for r in total.collect()}
-    for k in ("a", "b", None, "c"):
+    for k in ("a", "b", None, "c", "d"):
         seq = sorted(((t is not None, t or ts(0), o, v) for kk, t, v, o in rows if kk == k), key=lambda r: r[:3])
         for i, (timed, _, o, _) in enumerate(seq):
             a, b = (seq[i - 1][2:] if i else (None, None)), (seq[i + 1][2:] if i + 1 < len(seq) and seq[i + 1][0] == timed else (None, None))

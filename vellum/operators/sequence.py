@@ -190,12 +190,12 @@ def versions(df: DataFrame, keys: Sequence[str], ts: str, tracked: Sequence[str]
 
     Rows of one key and time are one first, the last by ``tiebreak`` (any,
     without one). A bucket decides all but its first row by itself; that one,
-    and the end of its last version, come from the summary of the buckets. A
-    row without a time begins no version, though what follows is compared to it.
+    and the end of its last version, come from the summary of the buckets.
+    Rows without a time are left out.
     """
     keys, tracked = list(keys), list(tracked)
     row = F.struct(*keys, *tracked)
-    df = df.select(*keys, ts, *tracked, *[c for c in tiebreak if c not in keys and c not in tracked and c != ts])
+    df = df.select(*keys, ts, *tracked, *[c for c in tiebreak if c not in keys and c not in tracked and c != ts]).filter(F.col(ts).isNotNull())
     long = long_keys(df, keys)
     if long is None:
         # one sort does: rows of a time stand together, the last of them by ``tiebreak`` stays
@@ -205,7 +205,7 @@ def versions(df: DataFrame, keys: Sequence[str], ts: str, tracked: Sequence[str]
         before = F.lag(F.struct(*tracked)).over(w)
         same = reduce(lambda a, b: a & b, [F.col("_vl_before")[c].eqNullSafe(F.col(c)) for c in tracked], F.lit(True))
         kept = once.withColumn("_vl_before", before).filter(F.col("_vl_before").isNull() | ~same)
-        return kept.select(*keys, *tracked, ts, F.lead(ts).over(w).alias(until)).filter(F.col(ts).isNotNull())
+        return kept.select(*keys, *tracked, ts, F.lead(ts).over(w).alias(until))
     whole = _exchanged(df, keys, bucket_of(ts, bucket_seconds), long)
     last = F.max_by(row, F.struct(*tiebreak)) if tiebreak else F.first(row)
     once = whole.groupBy(KEY, BUCKET, ts).agg(last.alias("_vl_row"))  # in place: rows of a time share a bucket
