@@ -58,13 +58,14 @@ def spec_snapshots(t, version: int):
     """
     docs = t.documents.filter(F.pmod("doc_id", F.lit(2)) == version - 1).withColumn("api", F.floor(F.col("doc_id") / 2))
     line = docs.select("api", F.explode(F.split("text", "\n")).alias("line")).filter(F.col("line") != "")
-    path = line.select("api", F.concat(F.lit("/"), F.substring_index("line", " ", 1)).alias("path"), F.col("line").alias("summary"))
+    # exchanged by ranges of the api, in which lines of a path meet and a first load is written
+    path = line.repartitionByRange("api").select("api", F.concat(F.lit("/"), F.substring_index("line", " ", 1)).alias("path"), F.col("line").alias("summary"))
     path = path.groupBy("api", "path").agg(F.max("summary").alias("summary"))
     method = F.when(F.col("summary").contains(","), F.array(F.lit("get"), F.lit("post"))).otherwise(F.array(F.lit("get")))
     # of the paths as the refresh has them, so that the texts aren't exchanged again
     ops = lambda done: done["paths"].select("api", "path", F.explode(method).alias("method"), (F.length("summary") % 2 == 0).alias("deprecated"))
     return {"specs": S.Snapshot(docs.select("api", F.col("lang").alias("title"), F.col("source").alias("spec_version")), ("api",), ("api",), ("title", "spec_version")),
-            "paths": S.Snapshot(path, ("api", "path"), ("api",), ("summary",)), "operations": S.Snapshot(ops, ("api", "path", "method"), ("api",), ("deprecated",))}
+            "paths": S.Snapshot(path, ("api", "path"), ("api",), ("summary",), ranged=True), "operations": S.Snapshot(ops, ("api", "path", "method"), ("api",), ("deprecated",))}
 
 
 _SPECS_SQL = """
