@@ -1,3 +1,7 @@
+import random
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from vellum.functions import text as X
@@ -96,3 +100,15 @@ def test_prices_that_are_none(spark):
     got = {r.k: r.reason for r in P.reply_rejects(df).collect()}
     assert [got.get(i) for i in range(len(recs))] == [w for _, w in recs]
     assert [(r.k, r.input_per_mtok) for r in P.reply_records(df).collect()] == [(3, 0.0)]
+
+
+def test_numbers_are_the_texts_that_cast(spark):
+    rng = random.Random(1)
+    told = ["1", "1.", ".5", ".", "-.5e3", "1e", "1e5f", "1d", "1L", "0x1p3", "0x.8P-2d", "0x1", "NaN", "-NaN", "nan", "-nan", "inf", "-iNf", "+Infinity", "INFINITY", "NaNf", "1 2", "--1", "1_0", "\u0661",
+            "1\u00a0", "1\n", "\x1f1", "", " ", "1e400", "$1,000.50", "5 $", "1\u2028"]
+    told += ["".join(rng.choice("01.eE+-dfxXpPAaNnIity, \t") for _ in range(rng.randint(1, 6))) for _ in range(20_000)]
+    df = spark.createDataFrame([(t,) for t in told], "t string")
+    rows = df.select("t", F.translate("t", ",$", "").try_cast("double").alias("cast"), X.to_number("t").alias("number")).collect()
+    assert all(repr(r["cast"]) == repr(r["number"]) for r in rows)
+    plain = pc.replace_substring_regex(pa.array([r["t"] for r in rows]), "[,$]", "")
+    assert pc.match_substring_regex(plain, X.NUMBER).to_pylist() == [r["cast"] is not None for r in rows]

@@ -44,6 +44,55 @@ def test_candidates_of_one_page(spark):
     assert (b.x, b.y, b.w, b.h, b.n_rows, b.kinds, b.confidence) == (0.0, 96.0, 60.0, 22.0, 2, ["text", "number"], 1.0)
 
 
+def scattered(n_pages, seed):
+    """Boxes of odd heights, places and texts, many of them in one place, on pages of which some lie in no document."""
+    rng, rows = random.Random(seed), []
+    for page in range(n_pages):
+        columns = [rng.choice([0, 30, 60, 100, 160, 200]) for _ in range(4)]
+        for _ in range(rng.randint(1, 50)):
+            y = rng.choice([12.0 * rng.randint(0, 8), 12.0 * rng.randint(0, 8), 5.0 * rng.randint(0, 20)])
+            text = rng.choice(["a", "b", "1", "2.5", "$3", "1,000", "", "x y", "é", "2020-01-01", "nan", "Infinity", "1d", " 7 ", None])
+            rows.append((page % 7 if page % 11 else None, page, 1, rng.choice(columns) + rng.choice([0.0, 0.0, 0.3, 2.5]), y, rng.choice([6.0, 12.0, 30.0, 0.0, None]), rng.choice([10.0, 10.0, 12.0, 0.5]), text))
+    return rows
+
+
+def as_text(rows):
+    return sorted(map(repr, rows.select(sorted(rows.columns)).collect()))
+
+
+@pytest.mark.parametrize("options", [{}, {"spill": 0.3, "max_gap": 0.2}, {"min_gutter": 2.0, "min_lines": 3}])
+def test_pages_at_once_and_pages_by_several_tasks_have_the_same_rows(spark, monkeypatch, options):
+    df = spark.createDataFrame(scattered(150, 6), BOXES).repartition(3).cache()
+    all_options = {"min_lines": 2, "max_gap": 1.5, "min_gutter": 8.0, "spill": 0.0, **options}
+    want = as_text(R.long_page_rows(df, **all_options))
+    assert len(want) > 50 and as_text(R.page_rows(df, **all_options)) == want
+    monkeypatch.setattr(R, "LONG_KEY", 25)  # some pages are long
+    assert as_text(R.table_rows(df, **options)) == want
+    assert as_text(R.table_rows(df, **options, sizes=df.groupBy("doc_id", "page_id").agg((F.count("*") * 5).alias("n")))) == want
+
+
+def test_pages_over_several_batches_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(R, "AT_ONCE", 7)
+    df = spark.createDataFrame(scattered(60, 7), BOXES).coalesce(1).cache()
+    want = as_text(R.table_rows(df))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "9")
+    try:
+        assert as_text(R.table_rows(df)) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_only_orders_and_lines_are_exchanged_for_boxes(spark):
+    from vellum.plans import QUERIES
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["table_values"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
 def test_gaps_between_lines_end_a_candidate(spark):
     lines = ["a   1", "b   2", "", "", "c   3", "d   4"]
     rows = R.table_rows(spark.createDataFrame(laid(spark, lines), BOXES))

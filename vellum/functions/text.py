@@ -35,9 +35,15 @@ def per_million(x) -> Column:
     return _c(x).try_cast("double") * F.lit(1_000_000.0)
 
 
+#: Fixed value: the texts that Spark casts to a double.
+NUMBER = (r"^[\x00-\x20]*(?:[+-]?(?:NaN|Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[fFdD]?"
+          r"|0[xX](?:[0-9a-fA-F]+\.?|[0-9a-fA-F]*\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[fFdD]?|(?i:inf|infinity))|(?i:nan))[\x00-\x20]*$")
+
+
 def to_number(x) -> Column:
-    """H8: numeric value of a text after removing ``,`` and ``$``."""
-    return F.translate(_c(x), ",$", "").try_cast("double")
+    """H8: numeric value of a text after removing ``,`` and ``$``. A cast that fails costs an exception, so other texts are told first."""
+    plain = F.translate(_c(x), ",$", "")
+    return F.when(plain.rlike(NUMBER), plain.try_cast("double"))
 
 
 def name_key(x) -> Column:

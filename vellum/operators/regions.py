@@ -4,13 +4,19 @@ Boxes become lines, lines become cells, as in :mod:`vellum.operators.sieve`.
 A run of neighbouring lines of two cells or more is a candidate. A sweep over
 the cells' x intervals finds its column gutters: edges are summed per place
 before they are swept, so the sweep is as long as the page is wide, whatever
-the number of lines. A page higher than ``BAND`` is numbered by several tasks.
+the number of lines.
+
+Pages are gathered by one sort (``page_rows``) and done many at a time, so
+nothing but boxes is exchanged, and these only if they don't lie by page yet.
+Pages of more than ``sequence.LONG_KEY`` boxes, counted first, take several
+tasks each (``long_page_rows``): their lines, edges and rows are exchanged, and
+a page higher than ``BAND`` is numbered in parts.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,9 +25,10 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from vellum.functions.text import fold_label, to_number
-from vellum.operators.sequence import null_safe_left, number_runs
+from vellum.functions.text import NUMBER, fold_label, to_number
+from vellum.operators.sequence import LONG_KEY, null_safe_left, number_runs
 
 # The function that runs in tasks travels with them: executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,6 +38,8 @@ BAND = 10_000.0
 PAGE = ["doc_id", "page_id"]
 RUN = [*PAGE, "run"]
 DATE = r"^\d{4}-\d{2}-\d{2}"
+#: Boxes that are done at once, as far as pages allow.
+AT_ONCE = 50_000
 
 
 def page_lines(boxes: DataFrame) -> DataFrame:
@@ -94,28 +103,201 @@ def gutters(runs: DataFrame, min_gutter: float = 8.0, spill: float = 0.0) -> Dat
                                                F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("gutters"))
 
 
-def table_rows(boxes: DataFrame, *, min_lines: int = 2, max_gap: float = 1.5, min_gutter: float = 8.0, spill: float = 0.0) -> DataFrame:
-    """``doc_id, page_id, run, top, bottom, x0, x1, n_cells, is_header, values``: the lines of candidates, a text (or null) per column.
+def table_rows(boxes: DataFrame, *, min_lines: int = 2, max_gap: float = 1.5, min_gutter: float = 8.0, spill: float = 0.0, sizes: DataFrame | None = None) -> DataFrame:
+    """``doc_id, page_id, run, top, bottom, x0, x1, n_cells, is_header, values, headers``: the lines of candidates, a text (or null) per column.
 
     A candidate has ``min_lines`` lines and a gutter. A cell is of the column
     that its middle is in, between the gutters' middles; cells of one column
     are joined by a blank. Header lines are those before the candidate's first
-    line with a number (none if no line has one). No boxes, or none in
-    columns, give no rows.
+    line with a number (none if no line has one); ``headers`` are their texts
+    by column, of all the candidate's header lines. No boxes, or none in
+    columns, give no rows. ``sizes``: ``(doc_id, page_id, n)``, about how many
+    boxes pages have, where boxes cost much to count.
     """
+    options = {"min_lines": min_lines, "max_gap": max_gap, "min_gutter": min_gutter, "spill": spill}
+    own = boxes.groupBy(*PAGE).agg(F.count(F.lit(1)).alias("n")) if sizes is None else sizes
+    long = own.filter((F.col("n") > LONG_KEY) & F.col("doc_id").isNotNull() & F.col("page_id").isNotNull()).select(*PAGE)
+    found = long.collect()  # at most one for that many boxes
+    if not found:
+        return page_rows(boxes, **options)
+    long = F.broadcast(boxes.sparkSession.createDataFrame(found, long.schema))
+    return page_rows(boxes.join(long, PAGE, "left_anti"), **options).unionByName(long_page_rows(boxes.join(long, PAGE, "left_semi"), **options))
+
+
+def page_rows(boxes: DataFrame, **options) -> DataFrame:
+    """``table_rows``, whole pages at a time; a page is held by one task."""
+    placed = boxes.dropna(subset=["x", "y", "w", "h", *PAGE])
+    middle = (F.col("y") + F.col("h") / 2) / F.greatest(F.col("h"), F.lit(1.0))
+    # the window brings a page's boxes together, the page's first has number 1; pages that lie together aren't exchanged
+    place = F.row_number().over(Window.partitionBy("page_id", "doc_id").orderBy("page_id"))
+    own = placed.select(*PAGE, F.col("x").cast("double").alias("x0"), (F.col("x") + F.col("w")).cast("double").alias("x1"), F.col("y").cast("double").alias("top"),
+                        (F.col("y") + F.col("h")).cast("double").alias("bottom"), F.col("h").cast("double").alias("h"), middle.cast("double").alias("middle"),
+                        F.coalesce("text", F.lit("")).alias("text"), place.alias("place"))
+    kinds = ", ".join(f"{c} {boxes.schema[c].dataType.simpleString()}" for c in PAGE)
+    schema = StructType.fromDDL(f"{kinds}, run long, top double, bottom double, x0 double, x1 double, n_cells int, is_header boolean, values array<string>, headers array<string>")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pages in whole_pages(batches):
+            yield from rows_of_pages(pages, **options).to_batches()
+
+    return own.mapInArrow(rows, schema)
+
+
+def whole_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches anew, cut before a page's first box."""
+    held, n = [], 0
+    for b in batches:
+        firsts = np.flatnonzero(b["place"].to_numpy() == 1)
+        cut = int(firsts[-1]) if len(firsts) and n + firsts[-1] >= AT_ONCE else 0
+        if cut or (n >= AT_ONCE and len(firsts)):
+            yield pa.Table.from_batches([*held, b.slice(0, cut)]).combine_chunks()
+            held, n = [], 0
+        held.append(b.slice(cut))
+        n += b.num_rows - cut
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where one of ``keys`` differs from the place before."""
+    return np.flatnonzero(np.any([np.concatenate([[True], k[1:] != k[:-1]]) for k in keys], axis=0)) if len(keys[0]) else np.zeros(0, np.int64)
+
+
+def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``n`` places from each of ``first``."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _ordered(texts: pa.Array, *keys: np.ndarray) -> np.ndarray:
+    """The order by ``keys``, the first one first, of equals by text."""
+    order = np.lexsort(keys[::-1])
+    if len(_starts(*[k[order] for k in keys])) < len(order):
+        order = np.lexsort((pc.rank(texts, tiebreaker="dense").to_numpy(), *keys[::-1]))
+    return order
+
+
+def _joined(texts: pa.Array, n: np.ndarray) -> pa.Array:
+    """Of ``n`` texts in turn, the texts joined by a blank; of none an empty one."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), texts), " ")
+
+
+def gutters_of(run: np.ndarray, x0: np.ndarray, x1: np.ndarray, n_lines: np.ndarray, min_gutter: float, spill: float) -> tuple[np.ndarray, np.ndarray]:
+    """The gutters of cells by their ``run``, as ``gutters`` finds them: their runs, and the sums of their two ends, in order."""
+    own, at = np.concatenate([run, run]), np.concatenate([np.floor(x0), np.ceil(x1)])
+    step = np.repeat([1, -1], len(run))
+    order = np.lexsort((at, own))
+    own, at = own[order], at[order]
+    first = _starts(own, at)
+    cover = np.cumsum(np.add.reduceat(step[order], first))  # a run's steps sum to 0
+    own, at = own[first], at[first]
+    last = np.concatenate([own[1:] != own[:-1], [True]])
+    is_open = ~last & (cover <= np.floor(n_lines[own] * spill))
+    lo = np.flatnonzero(is_open & ~np.concatenate([[False], is_open[:-1]]))
+    hi = np.flatnonzero(is_open & ~np.concatenate([is_open[1:], [False]])) + 1
+    ends = _starts(own)
+    left, right = at[ends], at[np.concatenate([ends[1:], [len(own)]]) - 1]
+    inner = (at[hi] - at[lo] >= min_gutter) & (at[lo] > left[own[lo]]) & (at[hi] < right[own[lo]])
+    return own[lo][inner], (at[lo] + at[hi])[inner]
+
+
+def rows_of_pages(pages: pa.Table, min_lines: int, max_gap: float, min_gutter: float, spill: float) -> pa.Table:
+    """The rows of ``table_rows`` of whole pages, whose boxes stand together."""
+    col = {c: pages[c].to_numpy() for c in ("x0", "x1", "top", "bottom", "h", "middle", "place")}
+    text = pages["text"].combine_chunks()
+    page = np.cumsum(col["place"] == 1)
+    v = np.abs(col["middle"])
+    height = np.copysign(np.floor(v) + (v - np.floor(v) >= 0.5), col["middle"])  # half up, as round() does
+    order = _ordered(text, page, height, col["x0"], col["x1"], col["h"])
+    x0, x1, h = (col[c][order] for c in ("x0", "x1", "h"))
+    page, height, text = page[order], height[order], text.take(pa.array(order))
+
+    # lines and their cells
+    line = _starts(page, height)
+    gap = np.concatenate([[True], x0[1:] - x1[:-1] > np.maximum(h[:-1] * 0.8, 3.0)])
+    gap[line] = True
+    cell = np.flatnonzero(gap)
+    n_cells = np.diff(np.append(np.searchsorted(cell, line), len(cell)))
+    top, bottom, right = np.minimum.reduceat(col["top"][order], line), np.maximum.reduceat(col["bottom"][order], line), np.maximum.reduceat(x1, line)
+    cell_x0, cell_x1, cell_text = x0[cell], np.maximum.reduceat(x1, cell), _joined(text, np.diff(np.append(cell, len(x0))))
+
+    # runs of lines of two cells or more
+    by = np.lexsort((bottom, top, page[line]))
+    first_cell = (np.cumsum(n_cells) - n_cells)[by]
+    line, top, bottom, right, n_cells = line[by], top[by], bottom[by], right[by], n_cells[by]
+    of, tabular = page[line], n_cells >= 2
+    opens = np.concatenate([[True], (tabular[1:] != tabular[:-1]) | (top[1:] - bottom[:-1] > max_gap * (bottom[1:] - top[1:])) | (of[1:] != of[:-1])])
+    number = np.cumsum(opens)
+    page_first = _starts(of)
+    number -= np.repeat(number[page_first] - 1, np.diff(np.append(page_first, len(of))))
+    run = np.cumsum(opens & tabular) - 1
+    n_lines = np.bincount(run[tabular], minlength=run.max() + 1)
+
+    # columns between the gutters of runs that have some and enough lines
+    own_cell = _spread(first_cell[tabular], n_cells[tabular])
+    g_run, g_mid = gutters_of(np.repeat(run[tabular], n_cells[tabular]), cell_x0[own_cell], cell_x1[own_cell], n_lines, min_gutter, spill) if len(own_cell) else (run[:0], top[:0])
+    n_columns = np.bincount(g_run, minlength=len(n_lines)) + 1
+    kept = np.flatnonzero(tabular & ((n_columns > 1) & (n_lines >= min_lines))[np.where(tabular, run, 0)]) if len(n_lines) else run[:0]
+    line, top, bottom, right, n_cells, first_cell, number = (a[kept] for a in (line, top, bottom, right, n_cells, first_cell, number))
+    ids, run = np.unique(run[kept], return_inverse=True)
+    n_columns = n_columns[ids]
+    own_cell, of_line = _spread(first_cell, n_cells), np.repeat(np.arange(len(line)), n_cells)
+    own = np.isin(g_run, ids)
+    g_run, g_mid = np.searchsorted(ids, g_run[own]), g_mid[own]
+    # a cell's column is the number of its run's gutters before its middle
+    is_gutter = np.repeat([1, 0], [len(g_run), len(own_cell)])
+    c_run = run[of_line]
+    swept = np.lexsort((is_gutter, np.concatenate([g_mid, cell_x0[own_cell] + cell_x1[own_cell]]), np.concatenate([g_run, c_run])))
+    before = np.empty(len(swept), np.int64)
+    before[swept] = np.cumsum(is_gutter[swept])
+    place = before[len(g_run):] - (np.cumsum(n_columns - 1) - (n_columns - 1))[c_run]
+
+    # a text per line and column
+    width = n_columns[run]
+    place += (np.cumsum(width) - width)[of_line]
+    cell_text = cell_text.take(pa.array(own_cell))
+    held = np.bincount(place, minlength=width.sum())
+    value = _joined(cell_text.take(pa.array(np.argsort(place, kind="stable"))), held)
+    value = pc.if_else(pa.array(held > 0), value, pa.scalar(None, value.type))
+    plain = pc.replace_substring_regex(cell_text, "[,$]", "")
+    numeric = np.bincount(of_line, pc.match_substring_regex(plain, NUMBER).to_numpy(zero_copy_only=False), minlength=len(line)) > 0
+    body = np.full(len(ids), np.inf)
+    np.minimum.at(body, run[numeric], top[numeric])
+    body[np.bincount(run, numeric, minlength=len(ids)) == 0] = -np.inf
+    is_header = top < body[run]
+
+    # a header's texts by column, from above
+    said = np.flatnonzero(np.repeat(is_header, width) & (held > 0))
+    said_line = np.repeat(np.arange(len(line)), width)[said]
+    column = said - (np.cumsum(width) - width)[said_line] + (np.cumsum(n_columns) - n_columns)[run[said_line]]
+    said_text = value.take(pa.array(said))
+    header = _joined(said_text.take(pa.array(_ordered(said_text, column, top[said_line]))), np.bincount(column, minlength=n_columns.sum()))
+    lists = lambda n, flat: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), flat)
+    box = pa.array(order[line])
+    return pa.table({**{c: pages[c].combine_chunks().take(box) for c in PAGE}, "run": pa.array(number, pa.int64()), "top": top, "bottom": bottom, "x0": x0[line], "x1": right,
+                     "n_cells": pa.array(n_cells, pa.int32()), "is_header": pa.array(is_header), "values": lists(width, value), "headers": lists(n_columns, header).take(pa.array(run))})
+
+
+def long_page_rows(boxes: DataFrame, min_lines: int, max_gap: float, min_gutter: float, spill: float) -> DataFrame:
+    """``table_rows``, a page by several tasks."""
     runs = line_runs(page_lines(boxes), max_gap)
     own = runs.join(gutters(runs, min_gutter, spill).filter(F.col("n_lines") >= min_lines), RUN)
     column = F.transform("cells", lambda c: F.struct(F.size(F.filter("gutters", lambda g: g["lo"] + g["hi"] < c["x0"] + c["x1"])).alias("k"), c["text"].alias("text")))
     own = own.withColumn("own", column)
     joined = lambda k: F.aggregate("own", F.lit(None).cast("string"), lambda said, c: F.when(c["k"] == k, F.concat_ws(" ", said, c["text"])).otherwise(said))
     values = F.transform(F.sequence(F.lit(0), F.size("gutters")), joined)
-    return own.select(*RUN, "top", "bottom", F.element_at("cells", 1)["x0"].alias("x0"), F.array_max(F.transform("cells", lambda c: c["x1"])).alias("x1"),
+    rows = own.select(*RUN, "top", "bottom", F.element_at("cells", 1)["x0"].alias("x0"), F.array_max(F.transform("cells", lambda c: c["x1"])).alias("x1"),
                       F.size("cells").alias("n_cells"), F.coalesce(F.col("top") < F.col("body_top"), F.lit(False)).alias("is_header"), values.alias("values"))
+    said = rows.filter("is_header").select(*RUN, "top", F.posexplode("values").alias("col", "value")).groupBy(*RUN, "col").agg(
+        F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("top", "value")))).alias("said"))
+    headers = said.groupBy(*RUN).agg(F.array_sort(F.collect_list(F.struct("col", F.array_join(F.transform("said", lambda s: s["value"]), " ").alias("header")))).alias("heads"))
+    heads = F.coalesce(F.transform("heads", lambda c: c["header"]), F.transform("values", lambda v: F.lit("")))
+    return rows.join(headers, RUN, "left").select(*rows.columns, heads.alias("headers"))
 
 
 def column_values(rows: DataFrame) -> DataFrame:
-    """A row per line of a candidate and column, with ``value`` and its ``kind`` (null where there is none)."""
-    cells = rows.select(*RUN, "top", "bottom", "x0", "x1", "n_cells", "is_header", F.posexplode("values").alias("col", "value"))
+    """A row per line of a candidate and column, with ``value``, its ``kind`` (null where there is none) and the column's ``header``."""
+    cells = rows.select(*RUN, "top", "bottom", "x0", "x1", "n_cells", "is_header", F.posexplode(F.arrays_zip("values", "headers")).alias("col", "both"))
+    cells = cells.select("*", F.col("both.values").alias("value"), F.col("both.headers").alias("header")).drop("both")
     return cells.withColumn("kind", F.when(F.col("value").rlike(DATE), "date").when(to_number("value").isNotNull(), "number").when(F.col("value").isNotNull(), "text"))
 
 
@@ -127,9 +309,8 @@ def found_columns(values: DataFrame, *more: Column) -> DataFrame:
     """
     body = ~F.col("is_header")
     n = lambda k: F.count_if(body & (F.col("kind") == k))
-    said = F.collect_list(F.when(~body & F.col("value").isNotNull(), F.struct("top", "value")))
-    cols = values.groupBy(*RUN, "col").agg(
-        F.array_join(F.transform(F.array_sort(said), lambda s: s["value"]), " ").alias("header"), F.count(F.when(body, F.col("value"))).alias("filled"),
+    cols = values.groupBy(*RUN, "col", "header").agg(
+        F.count(F.when(body, F.col("value"))).alias("filled"),
         n("number").alias("n_number"), n("date").alias("n_date"), n("text").alias("n_text"), F.count("value").alias("hit"), F.count_if(body).alias("n_rows"),
         F.sum("n_cells").alias("n_cells"), F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("top").alias("top"), F.max("bottom").alias("bottom"), *more)
     most = F.greatest("n_number", "n_date", "n_text")

@@ -70,8 +70,14 @@ WANTED = (R.Wanted("part", ("item", "part"), "text", domain="part_name"), R.Want
           R.Wanted("discount", ("discount", "rebate"), "number", minimum=0, maximum=1))
 
 
+def page_sizes(t):
+    """About how many boxes pages have: a line's texts are a dozen words."""
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("page_id")).agg((F.count(F.lit(1)) * 12).alias("n"))
+    return t.orders.select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("page_id")).join(lines, "page_id").select("doc_id", "page_id", "n")
+
+
 def rows(t):
-    return R.table_rows(boxes(t))
+    return R.table_rows(boxes(t), sizes=page_sizes(t))
 
 
 _ITEM_SQL = """
