@@ -93,6 +93,13 @@ def test_only_orders_and_lines_are_exchanged_for_boxes(spark):
     assert plan.count("Exchange hashpartitioning") == 4
 
 
+def test_what_concerns_hints_alone_is_constant(spark):
+    df = spark.createDataFrame([("unit price",), ("price of it",), ("",), ("a b a",)], "h string").withColumn("w", R.header_words(F.col("h")))
+    scored = df.select("h", R.header_score(F.col("h"), F.col("w"), ("Price", "unit  PRICE", "--")).alias("s"))
+    assert "lambdafunction" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.h: round(r.s, 4) for r in scored.collect()} == {"unit price": 1.0, "price of it": 0.3333, "": 0.0, "a b a": 0.0}
+
+
 def test_gaps_between_lines_end_a_candidate(spark):
     lines = ["a   1", "b   2", "", "", "c   3", "d   4"]
     rows = R.table_rows(spark.createDataFrame(laid(spark, lines), BOXES))

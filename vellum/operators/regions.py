@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vellum.functions.text import NUMBER, fold_label, to_number
+from vellum.operators.domains import materialised
 from vellum.operators.sequence import LONG_KEY, null_safe_left, number_runs
 
 # The function that runs in tasks travels with them: executors need not have this package.
@@ -361,32 +362,35 @@ def schema_scores(rows: DataFrame, wanted: Sequence[Wanted], members: DataFrame
     domains = sorted({w.domain for w in wanted if w.domain})
     if domains:
         labels = members.filter(F.col("domain_name").isin(domains)).groupBy(F.col("key").alias("label")).agg(F.collect_set("domain_name").alias("domains"))
-        values = values.withColumn("label", F.when(~F.col("is_header"), fold_label("value"))).join(labels, "label", "left")
+        values = values.withColumn("label", F.when(~F.col("is_header"), fold_label("value"))).join(materialised(labels), "label", "left")
     aggs = []
     for i, w in enumerate(wanted):
         within = (F.lit(True) if w.minimum is None else F.col("number") >= w.minimum) & (F.lit(True) if w.maximum is None else F.col("number") <= w.maximum)
         aggs += [F.count_if(~F.col("is_header") & F.col("value").rlike(w.pattern)).alias(f"_pattern{i}")] if w.pattern else []
         aggs += [F.count_if(within & F.col("number").isNotNull()).alias(f"_within{i}")] if w.minimum is not None or w.maximum is not None else []
         aggs += [F.count_if(F.array_contains("domains", w.domain)).alias(f"_domain{i}")] if w.domain else []
-    own = found_columns(values, *aggs).withColumn("_header", fold_label("header"))  # once a column, not once a hint
-    header = F.col("_header")
+    # once a column, not once a hint
+    own = found_columns(values, *aggs).withColumn("_header", fold_label("header")).withColumn("_words", header_words(F.col("_header")))
     share = lambda c: F.col(c) / F.greatest("filled", F.lit(1))
     scores = []
     for i, w in enumerate(wanted):
-        parts = [header_score(header, w.hints)] if w.hints else []
+        parts = [header_score(F.col("_header"), F.col("_words"), w.hints)] if w.hints else []
         parts += [share(f"n_{w.kind}")] if w.kind else []
         parts += [share(f"_{p}{i}") for p in ("pattern", "within", "domain") if f"_{p}{i}" in own.columns]
         scores.append(F.round(sum(parts, F.lit(0.0)) / max(len(parts), 1) * 1000).cast("int"))
     return own.select(*RUN, "col", "header", "kind", F.array(*scores).alias("scores"))
 
 
-def header_score(header: Column, hints: Sequence[str]) -> Column:
-    words = F.filter(F.split(header, r"[^\p{L}\p{N}]+"), lambda x: x != "")
+def header_words(header: Column) -> Column:
+    return F.array_distinct(F.array_remove(F.split(header, r"[^\p{L}\p{N}]+"), ""))
 
+
+def header_score(header: Column, words: Column, hints: Sequence[str]) -> Column:
+    """Of a folded header and its ``header_words``; what concerns a hint alone is folded to a constant (without lambdas, which aren't)."""
     def one(hint: str) -> Column:
-        own = F.filter(F.split(fold_label(F.lit(hint)), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-        return F.when(header == fold_label(F.lit(hint)), 1.0).otherwise(
-            F.coalesce(F.try_divide(F.size(F.array_intersect(words, own)), F.size(F.array_union(words, own))), F.lit(0.0)))
+        own = header_words(fold_label(F.lit(hint)))
+        both = F.size(F.array_intersect(words, own))
+        return F.when(header == fold_label(F.lit(hint)), 1.0).otherwise(F.coalesce(F.try_divide(both, F.size(words) + F.size(own) - both), F.lit(0.0)))
 
     return F.greatest(*[one(h) for h in hints], F.lit(0.0))
 
