@@ -86,6 +86,18 @@ def test_sieve_gap_rule_and_roles(spark):
     assert summ[2] == (2, 2)  # no numeric row -> body starts at line 1, short cells are codes
 
 
+def test_equal_boxes_count_once_on_their_line(spark):
+    schema = "doc_id long, page_id int, style_id int, weight string, x double, y double, w double, h double, text string"
+    row = (1, 1, 1, "bold", 0.0, 12.0, 6.0, 10.0, "a")
+    other = [(*row[:5], 12.1, *row[6:]), (*row[:3], "thin", *row[4:]), (*row[:8], None), (*row[:8], "b"), (1, 1, None, *row[3:]), (2, *row[1:])]  # each differs in one column
+    boxes = spark.createDataFrame([row, *other, *other, row, row], schema).repartition(3)
+    styles = boxes.select("doc_id", "style_id", "weight").distinct()
+    listed = lambda lines: sorted((r.doc_id, r.rc, [tuple(b) for b in r.boxes]) for r in lines.collect())
+    got = listed(S.lines(boxes, styles, once=True))
+    assert got == listed(S.lines(boxes.distinct().drop("weight"), styles)) and [len(r[2]) for r in got] == [5, 1]
+    assert [len(r[2]) for r in listed(S.lines(boxes.drop("weight"), styles))] == [11, 2]
+
+
 def test_domain_probe_bounds(spark):
     mem = D.members(spark.createDataFrame([("c", "Réunion", ["REUNION", "Bourbon"]), ("c", "France", [])],
                                           "domain_name string, label string, alt_labels array<string>"))
